@@ -29,6 +29,8 @@ ZONE = "UTC"
 HORIZON_MS = 6 * 3_600_000
 WIDE = replace(DEFAULTS, zone=ZONE, window="1 hour", bounce_horizon_ms=HORIZON_MS)
 
+_KEYS = ["vc", "ch", "ar", "is_new"]
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -347,7 +349,7 @@ def window_count_distinct(spark, sf):
 def union_measures(spark, sf):
     pages = t.page_log(spark, sf)
     rows = dws.traffic_measures(
-        pages, dwd_log.unique_visitor_detail(pages), dwd_log.user_jump_detail(pages, WIDE)
+        pages, dwd_log.unique_visitor_detail(pages), dwd_log.user_jump_detail(pages, WIDE, _KEYS)
     )
     names = ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")
     return rows.groupBy("vc", "ch").agg(*[F.sum(n).alias(n) for n in names])
@@ -407,7 +409,9 @@ def unique_visitors(spark, sf):
 
 @query
 def user_jump(spark, sf):
-    rows = sequence.bounces(t.page_log(spark, sf), horizon_ms=HORIZON_MS)
+    rows = sequence.bounces(
+        t.page_log(spark, sf), horizon_ms=HORIZON_MS, keep=["page_id", "ch"]
+    )
     return rows.select("mid", "seq", "ts", "page_id", "ch")
 
 
@@ -555,7 +559,7 @@ def dwd_trade_refund_pay_suc(spark, sf):
 def dws_traffic_page_view(spark, sf):
     pages = t.page_log(spark, sf)
     return dws.traffic_page_view(
-        pages, dwd_log.unique_visitor_detail(pages), dwd_log.user_jump_detail(pages, WIDE), WIDE
+        pages, dwd_log.unique_visitor_detail(pages), dwd_log.user_jump_detail(pages, WIDE, _KEYS), WIDE
     )
 
 

@@ -15,6 +15,7 @@ def bounces(
     horizon_ms: int = DEFAULTS.bounce_horizon_ms,
     bucket_ms: int | None = None,
     order: tuple[str, str] = ("ts", "seq"),
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Session starts that led nowhere.
 
@@ -24,15 +25,16 @@ def bounces(
     No visitor's history is gathered in one place: it is cut into time buckets, and a
     record less than a horizon past the edge of its bucket is also shown to the bucket
     before, where it can only serve as somebody's next record. Records further in are
-    too late to matter there. Only starts carry their columns through the shuffle.
+    too late to matter there. Only starts carry their columns (``keep``, by default
+    all) through the shuffle.
     """
     ts, seq = order
     width = max(bucket_ms or max(_HOUR_MS, 4 * horizon_ms), horizon_ms)
-    bucket = F.floor(F.col(ts) / F.lit(width))
+    bucket = F.expr(f"{ts} div {width}")
     near_edge = F.pmod(F.col(ts), F.lit(width)) < horizon_ms
     home = F.array(bucket)
     is_start = F.col("last_page_id").isNull()
-    payload = [c for c in page_log.columns if c not in (key, ts, seq)]
+    payload = [c for c in keep or page_log.columns if c not in (key, ts, seq)]
 
     placed = page_log.select(
         key,
@@ -54,4 +56,4 @@ def bounces(
     )
     return judged.where(
         F.col("_start") & (F.col("_bucket") == F.col("_home")) & led_nowhere
-    ).select(key, ts, seq, "_row.*").select(*page_log.columns)
+    ).select(key, ts, seq, *[F.col(f"_row.{c}").alias(c) for c in payload])

@@ -50,6 +50,8 @@ def unique_visitor_detail(page_log: DataFrame) -> DataFrame:
     return visitors.unique_visitors(page_log)
 
 
-def user_jump_detail(page_log: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def user_jump_detail(
+    page_log: DataFrame, settings: Settings = DEFAULTS, keep: list[str] | None = None
+) -> DataFrame:
     """Session starts that led nowhere (flat page records)."""
-    return sequence.bounces(page_log, horizon_ms=settings.bounce_horizon_ms)
+    return sequence.bounces(page_log, horizon_ms=settings.bounce_horizon_ms, keep=keep)

@@ -12,9 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rillmart import codes
+from rillmart.functions import time as tm
 from rillmart.functions.money import MONEY
 from rillmart.functions.time import FULL
-from rillmart.operators.split import flatten_pages
 from rillmart.schemas import STRING_MAP
 
 
@@ -76,48 +76,55 @@ def _page_id() -> Column:
     return expr
 
 
-def _log_columns(events: DataFrame) -> DataFrame:
+def _flat_log(events: DataFrame) -> DataFrame:
     user = F.col("user_id")
-    none = F.lit(None).cast("string")
-    common = F.struct(
-        _s(_mod("user_id", 25)).alias("ar"),
-        F.when(F.col("event_type") != "error", _s(user)).alias("uid"),
-        F.lit("Android").alias("os"),
-        F.concat(F.lit("ch"), _s(_mod("user_id", 4))).alias("ch"),
-        F.when(_mod("event_id", 2) == 0, F.lit("1")).otherwise(F.lit("0")).alias("is_new"),
-        none.alias("md"),
-        F.concat(F.lit("mid_"), _s(user)).alias("mid"),
-        F.concat(F.lit("v"), _s(_mod("user_id", 3))).alias("vc"),
-        none.alias("ba"),
-    )
     last = F.when(_mod("event_id", 3) == 1, F.lit("login")).when(
         _mod("event_id", 3) == 2, F.lit("home")
     )
-    page = F.struct(
+    return events.select(
+        F.col("event_id").alias("seq"),
+        F.unix_millis(_ts("ts")).alias("ts"),
+        F.concat(F.lit("mid_"), _s(user)).alias("mid"),
+        F.when(F.col("event_type") != "error", _s(user)).alias("uid"),
+        F.concat(F.lit("v"), _s(_mod("user_id", 3))).alias("vc"),
+        F.concat(F.lit("ch"), _s(_mod("user_id", 4))).alias("ch"),
+        _s(_mod("user_id", 25)).alias("ar"),
+        F.when(_mod("event_id", 2) == 0, F.lit("1")).otherwise(F.lit("0")).alias("is_new"),
         _page_id().alias("page_id"),
         F.col("props").alias("item"),
         F.lit("sku_id").alias("item_type"),
         last.alias("last_page_id"),
         F.floor(F.col("value") * 1000).cast("bigint").alias("during_time"),
-    )
-    return events.select(
-        F.col("event_id").alias("seq"),
-        common.alias("common"),
-        page.alias("page"),
-        F.unix_millis(_ts("ts")).alias("ts"),
         "event_type",
         "props",
     )
 
 
+def _nested(flat: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("string")
+    common = F.struct(
+        "ar", "uid", F.lit("Android").alias("os"), "ch", "is_new", none.alias("md"), "mid", "vc",
+        none.alias("ba"),
+    )
+    page = F.struct("page_id", "item", "item_type", "last_page_id", "during_time")
+    return flat.select(
+        "seq", common.alias("common"), page.alias("page"), "ts", "event_type", "props"
+    )
+
+
 def page_records(events: DataFrame) -> DataFrame:
     """Page records (``seq, common, page, ts``) from the events table or stream."""
-    return _log_columns(events).select("seq", "common", "page", "ts")
+    return _nested(_flat_log(events)).select("seq", "common", "page", "ts")
+
+
+def flat_pages(events: DataFrame) -> DataFrame:
+    """Flat page records from the events table or stream, as ``flatten_pages`` gives."""
+    return _flat_log(events).drop("event_type", "props").withColumn("dt", tm.day("ts"))
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat page records."""
-    return flatten_pages(page_records(table(spark, sf_dir, "events")))
+    return flat_pages(table(spark, sf_dir, "events"))
 
 
 def raw_log(events: DataFrame) -> DataFrame:
@@ -137,7 +144,7 @@ def raw_log(events: DataFrame) -> DataFrame:
         )
         return F.when(n > 0, made)
 
-    cols = _log_columns(events).withColumn("k", k)
+    cols = _nested(_flat_log(events)).withColumn("k", k)
     whole = F.to_json(
         F.struct(
             F.when(_mod("seq", 50) != 8, F.col("common")).alias("common"),
