@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,6 +23,7 @@ from rillmart.plans import dwd_db, dwd_log, dws
 from rillmart.session import tune
 from rillmart.settings import DEFAULTS
 from rillmart.sources import tables as t
+from rillmart.streaming import run, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -615,3 +617,101 @@ def dws_sku_order(spark, sf):
 def dws_refund(spark, sf):
     refunds = dwd_db.trade_order_refund(t.change_log(spark, sf, "order_info", "order_refund_info"), _dic(spark, sf))
     return dws.user_refund(refunds, t.dims(spark, sf), replace(WIDE, window="30 days"))
+
+
+# -- stream faces ------------------------------------------------------------------
+# Each runs a real streaming query over all available input and returns its output.
+
+
+def _page_stream(session: SparkSession, sf: str) -> DataFrame:
+    return t.flat_pages(t.stream_table(session, sf, "events"))
+
+
+@query
+def stream_window_append(spark, sf):
+    """Window sums that the watermark (two seconds behind) has closed."""
+
+    def build(session):
+        rows = tm.with_event_time(_page_stream(session, sf), tm.from_ms("ts"), WIDE.delay)
+        return windows.window_sum(rows, WIDE.window, ["ch"], {"dur_sum": "during_time"})
+
+    return run.drain(spark, build, "stream_window_append")
+
+
+@query
+def stream_window_count_distinct(spark, sf):
+    def build(session):
+        rows = tm.with_event_time(_page_stream(session, sf), tm.from_ms("ts"), WIDE.delay)
+        return windows.window_count_distinct(rows, "mid", "visitors", WIDE.window, ["page_id"])
+
+    return run.drain(spark, build, "stream_window_count_distinct")
+
+
+@query
+def stream_new_visitor_fix(spark, sf):
+    def build(session):
+        pages = _page_stream(session, sf).select("mid", "ts", "seq", "is_new", "page_id")
+        return stateful.repair_new_visitors(pages)
+
+    return run.drain(spark, build, "stream_new_visitor_fix").select("seq", "mid", "is_new")
+
+
+@query
+def stream_unique_visitors(spark, sf):
+    def build(session):
+        return stateful.unique_visitors(
+            _page_stream(session, sf).select("mid", "ts", "seq", "last_page_id", "vc", "ch", "page_id")
+        )
+
+    return run.drain(spark, build, "stream_unique_visitors").drop("last_page_id")
+
+
+@query
+def stream_order_user_flags(spark, sf):
+    def build(session):
+        orders = t.stream_table(session, sf, "orders").select(
+            F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("seq"),
+            F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts"),
+        )
+        return stateful.user_day_flags(orders)
+
+    rows = run.drain(spark, build, "stream_order_user_flags")
+    return _days(rows.withColumn("user_id", F.col("user_id").cast("bigint")))
+
+
+@query
+def stream_login_backflow(spark, sf):
+    def build(session):
+        return stateful.login_flags(
+            visitors.login_rows(_page_stream(session, sf)), back_after_days=1
+        )
+
+    return _days(run.drain(spark, build, "stream_login_backflow"))
+
+
+@query
+def stream_user_jump(spark, sf):
+    """Bounces whose fate is certain: the watermark has passed what decides them."""
+
+    def build(session):
+        pages = _page_stream(session, sf).select("mid", "ts", "seq", "last_page_id", "page_id", "ch")
+        return stateful.bounces(pages, horizon_ms=HORIZON_MS)
+
+    return run.drain(spark, build, "stream_user_jump").drop("rt", "last_page_id")
+
+
+@query
+def stream_order_wide(spark, sf):
+    """The order join on streams: each side remembers thirty days of event time."""
+
+    def build(session):
+        orders = t.stream_table(session, sf, "orders")
+        parts = [t.order_info(orders), *t.promotions_of_orders(orders)]
+        parts.append(t.order_detail(t.stream_table(session, sf, "lineitem")))
+        log = reduce(DataFrame.unionByName, parts)
+        dic = _dic(session, sf)
+        wide = dwd_db.trade_order_pre_process(log, dic, span="30 days", delay="1 day")
+        return wide.select("id", "order_id", "order_status", "source_type", "od_ts", "oi_ts",
+                           "activity_id", "coupon_id")
+
+    return run.drain(spark, build, "stream_order_wide")

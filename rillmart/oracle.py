@@ -198,7 +198,12 @@ def _with(body: str) -> str:
         if name in needed:
             place(name)
     ctes = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order)
-    return f"WITH {ctes}\n{body.strip()}" if ctes else body.strip()
+    body = body.strip()
+    if not ctes:
+        return body
+    if body.startswith("WITH "):
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
 
 
 _DETAIL_OUT = (
@@ -571,6 +576,47 @@ SQL = {
                           category1_name FROM sku) c ON c.category3_id = w.category3_id""",
 }
 
+SQL |= {
+    # stream faces: what the watermark has closed or decided when the input ends
+    "stream_window_append": f"""
+        SELECT stt, edt, ch, dur_sum FROM (
+            SELECT {bounds("ts")}, ch, CAST(sum(during_time) AS BIGINT) AS dur_sum,
+                   (min(ts) // 3600000 + 1) * 3600000 AS closes
+            FROM page_log GROUP BY 1, 2, ch)
+        WHERE closes <= (SELECT max(ts) - 2000 FROM page_log)""",
+    "stream_window_count_distinct": f"""
+        SELECT stt, edt, page_id, visitors FROM (
+            SELECT {bounds("ts")}, page_id, count(DISTINCT mid) AS visitors,
+                   (min(ts) // 3600000 + 1) * 3600000 AS closes
+            FROM page_log GROUP BY 1, 2, page_id)
+        WHERE closes <= (SELECT max(ts) - 2000 FROM page_log)""",
+    "stream_new_visitor_fix": SQL["new_visitor_fix"],
+    "stream_unique_visitors": "SELECT mid, seq, ts, vc, ch, page_id FROM uv",
+    "stream_order_user_flags": SQL["order_user_flags"],
+    "stream_login_backflow": SQL["login_backflow"],
+    "stream_user_jump": """
+        SELECT mid, seq, ts, page_id, ch FROM uj
+        WHERE least(coalesce(next_ts, ts + 21600000), ts + 21600000)
+              <= (SELECT max(ts) - 2000 FROM page_log)""",
+    "stream_order_wide": """
+        WITH d AS (
+            SELECT details.*, dic_name FROM details JOIN dic ON dic_code = CAST(source_code AS VARCHAR)),
+        a AS (SELECT o_orderkey * 10 + 1 AS detail_id, CAST(o_orderkey % 7 AS VARCHAR) AS activity_id,
+                     epoch_us(o_orderdate) // 1000000 AS ts FROM orders WHERE o_orderkey % 2 = 0),
+        c AS (SELECT o_orderkey * 10 + 1 AS detail_id, CAST(o_orderkey % 11 AS VARCHAR) AS coupon_id,
+                     epoch_us(o_orderdate) // 1000000 AS ts FROM orders WHERE o_orderkey % 3 = 0),
+        wm AS (SELECT least((SELECT max(od_ts) FROM d), (SELECT max(ts) FROM order_changes),
+                            (SELECT max(ts) FROM a), (SELECT max(ts) FROM c)) - 86400 AS w)
+        SELECT CAST(d.detail_id AS VARCHAR) AS id, CAST(d.order_id AS VARCHAR) AS order_id, o.order_status,
+               d.dic_name AS source_type, d.od_ts, o.ts AS oi_ts, a.activity_id, c.coupon_id
+        FROM d JOIN order_changes o ON o.order_id = d.order_id AND abs(o.ts - d.od_ts) <= 30 * 86400
+        CROSS JOIN wm
+        LEFT JOIN a ON a.detail_id = d.detail_id AND abs(a.ts - d.od_ts) <= 30 * 86400
+        LEFT JOIN c ON c.detail_id = d.detail_id AND abs(c.ts - d.od_ts) <= 30 * 86400
+        WHERE (a.detail_id IS NOT NULL OR d.od_ts < w - 60 * 86400)
+          AND (c.detail_id IS NOT NULL OR d.od_ts < w - 90 * 86400)""",
+}
+
 CTES["fixed_log"] = """
     SELECT *, CASE WHEN is_new = '1' AND first_day <> dt THEN '0' ELSE is_new END AS fixed FROM (
         SELECT *, first_value(CASE WHEN is_new = '1' THEN dt

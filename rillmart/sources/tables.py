@@ -289,6 +289,24 @@ def order_detail_coupon(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def promotions_of_orders(orders: DataFrame) -> list[DataFrame]:
+    """Promotions of every order's first line, one each; needs no grouping, so it also
+    works on a stream."""
+    at = F.unix_seconds(_ts("o_orderdate"))
+    first = F.col("o_orderkey") * 10 + 1
+
+    def made(name: str, n: int, **entries: Column) -> DataFrame:
+        rows = orders.where(_mod("o_orderkey", n) == 0)
+        return _change(
+            rows, name, F.lit("insert"), at, _map(order_detail_id=first, **entries), _no_old()
+        )
+
+    return [
+        made("order_detail_activity", 2, activity_id=_mod("o_orderkey", 7), activity_rule_id=F.lit(1)),
+        made("order_detail_coupon", 3, coupon_id=_mod("o_orderkey", 11), coupon_use_id=F.lit(2)),
+    ]
+
+
 def order_refund_info(lineitem: DataFrame) -> DataFrame:
     shipped = _ts("l_shipdate")
     return _change(
