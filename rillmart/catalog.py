@@ -663,7 +663,7 @@ def stream_unique_visitors(spark, sf):
             _page_stream(session, sf).select("mid", "ts", "seq", "last_page_id", "vc", "ch", "page_id")
         )
 
-    return run.drain(spark, build, "stream_unique_visitors").drop("last_page_id")
+    return run.drain(spark, build, "stream_unique_visitors").drop("last_page_id", "rt")
 
 
 @query
@@ -675,7 +675,7 @@ def stream_order_user_flags(spark, sf):
         )
         return stateful.user_day_flags(orders)
 
-    rows = run.drain(spark, build, "stream_order_user_flags")
+    rows = run.drain(spark, build, "stream_order_user_flags").drop("rt")
     return _days(rows.withColumn("user_id", F.col("user_id").cast("bigint")))
 
 
@@ -686,7 +686,7 @@ def stream_login_backflow(spark, sf):
             visitors.login_rows(_page_stream(session, sf)), back_after_days=1
         )
 
-    return _days(run.drain(spark, build, "stream_login_backflow"))
+    return _days(run.drain(spark, build, "stream_login_backflow").drop("rt"))
 
 
 @query

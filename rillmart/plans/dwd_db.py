@@ -17,6 +17,20 @@ from rillmart.operators.enrich import lookup
 from rillmart.operators.joins import interval_join
 
 
+def name_code(df: DataFrame, dic: DataFrame | None, code: str, name: str | None = None) -> DataFrame:
+    """Add a code's name as ``name``, or put it in the code's place without one.
+
+    Without a dictionary the codes stay: a stream that must see the dictionary of the
+    moment names them batch by batch, after its joins.
+    """
+    if dic is None:
+        return df
+    if name:
+        return lookup(df, dic, code, name)
+    named = lookup(df, dic, code, "_name").drop(code)
+    return named.withColumnRenamed("_name", code)
+
+
 def _stamped(df: DataFrame, delay: str | None, ts: str = "ts") -> DataFrame:
     return tm.with_event_time(df, tm.from_seconds(ts), delay)
 
@@ -116,7 +130,7 @@ def detail_coupons(changes: DataFrame) -> DataFrame:
 
 
 def trade_order_pre_process(
-    changes: DataFrame, dic: DataFrame, span: str | None = None, delay: str | None = None
+    changes: DataFrame, dic: DataFrame | None, span: str | None = None, delay: str | None = None
 ) -> DataFrame:
     """Order wide rows: detail x order change, with promotions and source name.
 
@@ -125,8 +139,7 @@ def trade_order_pre_process(
     detail and order change comes out once, in its final form. Both promotion joins
     use the partitioning by detail id made for the first of them.
     """
-    details = lookup(order_details(changes), dic, "source_type", "source_name")
-    details = details.drop("source_type").withColumnRenamed("source_name", "source_type")
+    details = name_code(order_details(changes), dic, "source_type")
     orders = order_changes(changes)
     activities, coupons = detail_activities(changes), detail_coupons(changes)
     if span:
@@ -159,7 +172,7 @@ def trade_cancel_detail(order_wide: DataFrame) -> DataFrame:
 def trade_pay_detail_suc(
     changes: DataFrame,
     order_detail: DataFrame,
-    dic: DataFrame,
+    dic: DataFrame | None,
     span: str | None = None,
     delay: str | None = None,
 ) -> DataFrame:
@@ -171,8 +184,7 @@ def trade_pay_detail_suc(
     paid = of_table(changes, "payment_info", "update").where(
         field("payment_status") == codes.PAYMENT_SUCCESS
     ).select(*fields("order_id", "payment_type", pay_time="create_time"), "ts")
-    paid = lookup(paid, dic, "payment_type", "payment_name").drop("payment_type")
-    paid = paid.withColumnRenamed("payment_name", "payment_type")
+    paid = name_code(paid, dic, "payment_type")
     if span:
         paid = _stamped(paid, delay)
     joined = interval_join(
@@ -184,8 +196,14 @@ def trade_pay_detail_suc(
 # -- refunds -----------------------------------------------------------------------
 
 
+def name_refund_codes(df: DataFrame, dic: DataFrame | None) -> DataFrame:
+    """Names of the kind of and the reason for a refund."""
+    named = name_code(df, dic, "refund_type_code", "refund_type_name")
+    return name_code(named, dic, "refund_reason_type_code", "refund_reason_type_name")
+
+
 def trade_order_refund(
-    changes: DataFrame, dic: DataFrame, span: str | None = None, delay: str | None = None
+    changes: DataFrame, dic: DataFrame | None, span: str | None = None, delay: str | None = None
 ) -> DataFrame:
     """Refund requests of orders that went into refunding, with both names."""
     requests = of_table(changes, "order_refund_info", "insert").select(
@@ -196,8 +214,7 @@ def trade_order_refund(
         ),
         "ts",
     )
-    requests = lookup(requests, dic, "refund_type_code", "refund_type_name")
-    requests = lookup(requests, dic, "refund_reason_type_code", "refund_reason_type_name")
+    requests = name_refund_codes(requests, dic)
     orders = of_table(changes, "order_info", "update").where(
         moved_to("order_status", codes.ORDER_REFUNDING)
     ).select(*fields("province_id", order_id="id"), F.col("ts").alias("oi_ts"))
@@ -210,7 +227,7 @@ def trade_order_refund(
 
 
 def trade_refund_pay_suc(
-    changes: DataFrame, dic: DataFrame, span: str | None = None, delay: str | None = None
+    changes: DataFrame, dic: DataFrame | None, span: str | None = None, delay: str | None = None
 ) -> DataFrame:
     """Paid-out refunds with their order and refund request.
 
@@ -226,7 +243,7 @@ def trade_refund_pay_suc(
         ),
         "ts",
     )
-    paid = lookup(paid, dic, "payment_type_code", "payment_type_name")
+    paid = name_code(paid, dic, "payment_type_code", "payment_type_name")
     requests = of_table(changes, "order_refund_info").select(
         *fields("order_id", "sku_id", "refund_num"), F.col("ts").alias("ri_ts")
     )

@@ -68,9 +68,12 @@ def source_keyword(page_log: DataFrame, settings: Settings = DEFAULTS) -> DataFr
 def home_detail_page_view(page_log: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Visitors of the home page and of product pages, once per day and kind."""
     kinds = page_log.where(F.col("page_id").isin("home", "good_detail"))
-    first = tm.with_event_time(
-        visitors.day_starts(kinds, ["mid", "page_id"]), tm.from_ms("ts"), settings.delay
-    )
+    first = visitors.day_starts(kinds, ["mid", "page_id"])
+    return home_detail_window(tm.with_event_time(first, tm.from_ms("ts")), settings)
+
+
+def home_detail_window(first: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Counts of first-of-day visits (``page_id, rt``) per window."""
     return window_agg(
         first,
         settings.window,
@@ -85,8 +88,12 @@ def user_login(page_log: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     flags = visitors.login_flags(
         visitors.login_rows(page_log), back_after_days=settings.back_after_days
     )
-    rows = tm.with_event_time(flags, tm.from_ms("ts"), settings.delay)
-    return window_sum(rows, settings.window, sums={"back_ct": "back", "uu_ct": "uu"})
+    return user_login_window(tm.with_event_time(flags, tm.from_ms("ts")), settings)
+
+
+def user_login_window(flags: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Sums of login flags (``uu, back, rt``) per window."""
+    return window_sum(flags, settings.window, sums={"back_ct": "back", "uu_ct": "uu"})
 
 
 def user_register(registered: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -98,50 +105,56 @@ def cart_add_uu(cart_adds: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     """Users adding to a cart, once per day (the day of the record's second)."""
     ms = F.col("ts") * 1000
     rows = cart_adds.select("user_id", ms.alias("ts"), tm.day(ms).alias("dt"))
-    first = tm.with_event_time(
-        visitors.day_starts(rows, ["user_id"]), tm.from_ms("ts"), settings.delay
-    )
+    first = visitors.day_starts(rows, ["user_id"])
+    return cart_add_window(tm.with_event_time(first, tm.from_ms("ts")), settings)
+
+
+def cart_add_window(first: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Counts of users' first cart adds of a day (``rt``) per window."""
     return window_agg(first, settings.window, measures={"cart_add_uu_ct": F.count(F.lit(1))})
 
 
-def _user_window(df: DataFrame, stamp: Column, unique: str, new: str, settings: Settings) -> DataFrame:
-    rows = df.select("user_id", stamp.alias("ts"), tm.day(stamp).alias("dt"))
-    flags = tm.with_event_time(
-        visitors.user_day_flags(rows.where(F.col("ts").isNotNull())),
-        tm.from_ms("ts"),
-        settings.delay,
-    )
+ORDER_USERS = ("order_unique_user_count", "order_new_user_count")
+PAYMENT_USERS = ("payment_suc_unique_user_count", "payment_suc_new_user_count")
+
+
+def user_rows(df: DataFrame, stamp: str) -> DataFrame:
+    """``user_id, ts, dt`` of rows whose date-time string can be read."""
+    ms = tm.to_ms(stamp, full=True)
+    rows = df.select("user_id", ms.alias("ts"), tm.day(ms).alias("dt"))
+    return rows.where(F.col("ts").isNotNull())
+
+
+def user_window(
+    flags: DataFrame, names: tuple[str, str], settings: Settings = DEFAULTS
+) -> DataFrame:
+    """Sums of user-day flags (``unique_user, new_user, rt``) per window."""
+    unique, new = names
     return window_sum(flags, settings.window, sums={unique: "unique_user", new: "new_user"})
 
 
+def _user_counts(df: DataFrame, stamp: str, names: tuple[str, str], settings: Settings) -> DataFrame:
+    flags = visitors.user_day_flags(user_rows(df, stamp))
+    return user_window(tm.with_event_time(flags, tm.from_ms("ts")), names, settings)
+
+
 def trade_order(order_detail: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Ordering users per window; a user's first row of the day counts."""
-    return _user_window(
-        order_detail,
-        tm.to_ms("create_time", full=True),
-        "order_unique_user_count",
-        "order_new_user_count",
-        settings,
-    )
+    return _user_counts(order_detail, "create_time", ORDER_USERS, settings)
 
 
 def payment_suc(pay_detail: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    return _user_window(
-        pay_detail,
-        tm.to_ms("pay_time", full=True),
-        "payment_suc_unique_user_count",
-        "payment_suc_new_user_count",
-        settings,
-    )
+    """Paying users per window, by time of payment."""
+    return _user_counts(pay_detail, "pay_time", PAYMENT_USERS, settings)
 
 
-def province_order(changes: DataFrame, dims: dict[str, DataFrame], settings: Settings = DEFAULTS) -> DataFrame:
-    """Orders and amounts by province, named after aggregating."""
+def province_window(changes: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Orders and amounts by province."""
     placed = of_table(changes, "order_info", "insert").select(
         *fields("province_id", "total_amount", "create_time")
     )
     rows = tm.with_event_time(placed, tm.parse_full("create_time"), settings.delay)
-    counted = window_agg(
+    return window_agg(
         rows,
         settings.window,
         ["province_id"],
@@ -150,57 +163,95 @@ def province_order(changes: DataFrame, dims: dict[str, DataFrame], settings: Set
             "order_amount": F.sum(amount_or_zero(F.col("total_amount"))).cast(MONEY),
         },
     )
+
+
+def name_provinces(counted: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return enrich.enrich(
         counted, dims["dim_base_province"], "province_id", {"province_name": "name"}
     )
 
 
+def province_order(
+    changes: DataFrame, dims: dict[str, DataFrame], settings: Settings = DEFAULTS
+) -> DataFrame:
+    return name_provinces(province_window(changes, settings), dims)
+
+
+_AMOUNTS = {
+    "original_amount": "split_original_amount",
+    "activity_amount": "split_activity_amount",
+    "coupon_amount": "split_coupon_amount",
+    "order_amount": "split_total_amount",
+}
+
+
+def sku_amounts(order_detail: DataFrame) -> DataFrame:
+    """Complete details as decimals, missing amounts as zero."""
+    return complete(order_detail, "user_id", "source_type").select(
+        "id", "sku_id", "sku_name", "od_ts",
+        *[amount_or_zero(F.col(c)).alias(n) for n, c in _AMOUNTS.items()],
+    )
+
+
+def sku_window(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Amounts (with ``rt``) by SKU."""
+    measures = {"sku_name": F.min("sku_name")} | {n: F.sum(n).cast(MONEY) for n in _AMOUNTS}
+    return window_agg(rows, settings.window, ["sku_id"], measures)
+
+
 def sku_order(
     order_detail: DataFrame,
     dims: dict[str, DataFrame],
     settings: Settings = DEFAULTS,
-    version: list[str] | None = ("row_op_ts",),
+    version: tuple[str, ...] | list[str] = ("row_op_ts",),
     ties: list[str] | None = None,
 ) -> DataFrame:
-    """Amounts by SKU over the newest version of each order detail.
-
-    ``version=None`` skips the deduplication for an input that is already unique, such
-    as the stream face of the order join, which emits every row once.
-    """
-    rows = complete(order_detail, "user_id", "source_type")
-    if version:
-        rows = latest_per_key(rows, ["id"], list(version), ties)
-    split = {
-        "original_amount": "split_original_amount",
-        "activity_amount": "split_activity_amount",
-        "coupon_amount": "split_coupon_amount",
-        "order_amount": "split_total_amount",
-    }
-    rows = tm.with_event_time(
-        rows.select(
-            "sku_id",
-            "sku_name",
-            *[amount_or_zero(F.col(c)).alias(n) for n, c in split.items()],
-            "od_ts",
-        ),
-        tm.from_seconds("od_ts"),
-        settings.delay,
+    """Amounts by SKU over the newest version of each order detail."""
+    newest = latest_per_key(
+        complete(order_detail, "user_id", "source_type"), ["id"], list(version), ties
     )
-    measures = {"sku_name": F.min("sku_name")} | {n: F.sum(n).cast(MONEY) for n in split}
-    summed = window_agg(rows, settings.window, ["sku_id"], measures)
-    return enrich.add_sku(summed, dims)
+    rows = tm.with_event_time(sku_amounts(newest), tm.from_seconds("od_ts"))
+    return enrich.add_sku(sku_window(rows, settings), dims)
+
+
+_REFUND_KEYS = ["user_id", "trademark_id", "category3_id"]
+
+
+def _with_sku_links(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    links = {"trademark_id": "tm_id", "category3_id": "category3_id"}
+    return enrich.enrich(rows, dims["dim_sku_info"], "sku_id", links)
 
 
-def user_refund(refunds: DataFrame, dims: dict[str, DataFrame], settings: Settings = DEFAULTS) -> DataFrame:
+def name_refunds(counted: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    return enrich.add_categories(enrich.add_trademark(counted, dims), dims)
+
+
+def user_refund(
+    refunds: DataFrame, dims: dict[str, DataFrame], settings: Settings = DEFAULTS
+) -> DataFrame:
     """Orders refunded, by user, trademark and category."""
-    keyed = enrich.enrich(
-        refunds.select("user_id", "order_id", "sku_id", "ts"),
-        dims["dim_sku_info"],
-        "sku_id",
-        {"trademark_id": "tm_id", "category3_id": "category3_id"},
+    keyed = _with_sku_links(refunds.select("user_id", "order_id", "sku_id", "ts"), dims)
+    rows = tm.with_event_time(keyed, tm.from_seconds("ts"))
+    counted = window_count_distinct(rows, "order_id", "refund_count", settings.window, _REFUND_KEYS)
+    return name_refunds(counted, dims)
+
+
+def refund_orders_window(refunds: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Stream half of ``user_refund``: the orders of each user and SKU per window."""
+    rows = tm.with_event_time(refunds, tm.from_seconds("ts"), settings.delay)
+    return window_agg(
+        rows, settings.window, ["user_id", "sku_id"], {"order_ids": F.collect_set("order_id")}
     )
-    rows = tm.with_event_time(keyed, tm.from_seconds("ts"), settings.delay)
-    counted = window_count_distinct(
-        rows, "order_id", "refund_count", settings.window, ["user_id", "trademark_id", "category3_id"]
+
+
+def count_refunds(closed: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Other half, over closed windows with the dimensions of now.
+
+    A window closes for all its groups at once, so the orders of several SKUs of one
+    trademark and category meet here and are counted once.
+    """
+    orders = closed.select("stt", "edt", "user_id", "sku_id", F.explode("order_ids").alias("order_id"))
+    counted = _with_sku_links(orders, dims).groupBy("stt", "edt", *_REFUND_KEYS).agg(
+        F.countDistinct("order_id").alias("refund_count")
     )
-    return enrich.add_categories(enrich.add_trademark(counted, dims), dims)
+    return name_refunds(counted, dims)

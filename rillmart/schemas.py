@@ -129,3 +129,29 @@ TRANSIENT = {
 def columns(table: str) -> list[str]:
     """Column order of a fact or mart table."""
     return (FACTS.get(table) or MARTS[table]).split()
+
+#: a page record as the page topic holds it
+PAGE_RECORD = T.StructType().add("common", COMMON).add("page", PAGE).add("ts", T.LongType())
+
+#: flat page records, as the unique-visitor and bounce topics hold them
+FLAT_PAGE = (
+    strings("mid uid vc ch ar is_new page_id item item_type last_page_id")
+    .add("during_time", T.LongType())
+    .add("ts", T.LongType())
+)
+
+_TYPES = {
+    "od_ts": T.LongType(),
+    "oi_ts": T.LongType(),
+    "ts": T.LongType(),
+    "pt": T.TimestampType(),
+    "row_op_ts": T.TimestampType(),
+    "old": STRING_MAP,
+}
+
+
+def fact_schema(table: str) -> T.StructType:
+    """Schema of a fact table: strings but for epochs, arrival times and ``old``."""
+    return T.StructType(
+        [T.StructField(c, _TYPES.get(c, T.StringType())) for c in columns(table)]
+    )
