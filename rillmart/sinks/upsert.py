@@ -58,7 +58,10 @@ def read_changelog(spark: SparkSession, path: str, schema: str | T.StructType) -
         schema = T.StructType.fromDDL(schema)
     full = T.StructType(list(schema.fields))
     full = full.add(_DELETED, T.BooleanType()).add("batch_id", T.LongType())
-    recent = spark.read.schema(full).parquet(deltas(path))
+    try:
+        recent = spark.read.schema(full).parquet(deltas(path))
+    except AnalysisException:  # nothing was written yet
+        recent = spark.createDataFrame([], full)
     upto = compacted_upto(spark, path)
     if upto is None:
         return recent
