@@ -129,8 +129,9 @@ def dirty_split(spark, sf):
 
 @query
 def map_project(spark, sf):
-    return ch.of_table(t.change_log(spark, sf, "order_detail"), "order_detail").select(
-        *ch.fields("id", "order_id", "sku_num", absent="no_such_column")
+    """Map entries as columns; a key the map lacks reads as null."""
+    return ch.of_table(t.dim_changes(spark, sf), "sku_info").select(
+        *ch.fields("id", "sku_name", "price", absent="no_such_column"), "type"
     )
 
 
@@ -708,7 +709,7 @@ def stream_order_wide(spark, sf):
         orders = t.stream_table(session, sf, "orders")
         parts = [t.order_info(orders), *t.promotions_of_orders(orders)]
         parts.append(t.order_detail(t.stream_table(session, sf, "lineitem")))
-        log = reduce(DataFrame.unionByName, parts)
+        log = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         dic = _dic(session, sf)
         wide = dwd_db.trade_order_pre_process(log, dic, span="30 days", delay="1 day")
         return wide.select("id", "order_id", "order_status", "source_type", "od_ts", "oi_ts",

@@ -290,8 +290,12 @@ SQL = {
         FROM (SELECT *, json_extract_string(props, '$.k') AS k,
                      CAST(json_extract_string(props, '$.k') AS BIGINT) AS kk FROM events)""",
     "map_project": """
-        SELECT CAST(detail_id AS VARCHAR) AS id, CAST(order_id AS VARCHAR) AS order_id,
-               CAST(num AS VARCHAR) AS sku_num, CAST(NULL AS VARCHAR) AS absent FROM details""",
+        SELECT CAST(p_partkey AS VARCHAR) AS id,
+               CASE WHEN type = 'update' THEN upper(p_name) ELSE p_name END AS sku_name,
+               CAST(CAST(p_retailprice AS DECIMAL(16,2)) AS VARCHAR) AS price,
+               CAST(NULL AS VARCHAR) AS absent, type
+        FROM part, (VALUES ('insert', 1), ('update', 3), ('delete', 10)) v(type, n)
+        WHERE p_partkey % n = 0""",
     "filter_change_type": """
         SELECT type, order_status, count(*) AS n, count(old_status) AS moved
         FROM order_changes GROUP BY type, order_status""",

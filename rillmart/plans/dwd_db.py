@@ -130,14 +130,20 @@ def detail_coupons(changes: DataFrame) -> DataFrame:
 
 
 def trade_order_pre_process(
-    changes: DataFrame, dic: DataFrame | None, span: str | None = None, delay: str | None = None
+    changes: DataFrame,
+    dic: DataFrame | None,
+    span: str | None = None,
+    delay: str | None = None,
 ) -> DataFrame:
     """Order wide rows: detail x order change, with promotions and source name.
 
     With ``span`` the sides match only that close in event time, which is what a
     stream needs to forget them; streams therefore pass ``span`` and ``delay``. Each
-    detail and order change comes out once, in its final form. Both promotion joins
-    use the partitioning by detail id made for the first of them.
+    detail and order change comes out once, in its final form.
+
+    A stream joins the order first, so a row without promotions waits as little as
+    possible. Batch joins both promotions first, on one partitioning by detail id, while
+    there is still one row per detail, and then exchanges the result by order id.
     """
     details = name_code(order_details(changes), dic, "source_type")
     orders = order_changes(changes)
@@ -146,15 +152,22 @@ def trade_order_pre_process(
         details = _stamped(details, delay, "od_ts")
         orders = _stamped(orders, delay, "oi_ts")
         activities, coupons = _stamped(activities, delay), _stamped(coupons, delay)
-    wide = interval_join(details, orders, [("order_id", "order_id")], span=span)
-    by_detail = [("id", "order_detail_id")]
-    wide = interval_join(
-        wide, activities, by_detail, "left", span=span, keep=["activity_id", "activity_rule_id"]
-    )
-    wide = interval_join(
-        wide, coupons, by_detail, "left", span=span, keep=["coupon_id", "coupon_use_id"]
-    )
-    return wide.drop("rt")
+
+    def with_order(df: DataFrame) -> DataFrame:
+        return interval_join(df, orders, [("order_id", "order_id")], span=span)
+
+    def with_promotions(df: DataFrame) -> DataFrame:
+        by_detail = [("id", "order_detail_id")]
+        for side, keep in (
+            (activities, ["activity_id", "activity_rule_id"]),
+            (coupons, ["coupon_id", "coupon_use_id"]),
+        ):
+            df = interval_join(df, side, by_detail, "left", span=span, keep=keep)
+        return df
+
+    if changes.isStreaming:
+        return with_promotions(with_order(details)).drop("rt")
+    return with_order(with_promotions(details)).drop("rt")
 
 
 def trade_order_detail(order_wide: DataFrame) -> DataFrame:

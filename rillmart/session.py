@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # measured at run time: a side that turns out this small is broadcast after all
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(DEFAULTS.broadcast_bytes),
+    # a join whose build side is small in every partition, as measured, skips the sorts
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(32 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

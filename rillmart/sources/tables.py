@@ -57,8 +57,21 @@ def _map(**entries: Column) -> Column:
     return F.create_map(*pairs)
 
 
+def _row(**entries: Column) -> Column:
+    return F.struct(*[v.cast("string").alias(k) for k, v in entries.items()])
+
+
+#: columns whose former values some job reads
+_OLD = ("order_status", "coupon_status", "sku_num")
+
+
+def _old(**entries: Column) -> Column:
+    none = F.lit(None)
+    return _row(**{name: entries.get(name, none) for name in _OLD})
+
+
 def _no_old() -> Column:
-    return F.lit(None).cast(STRING_MAP)
+    return F.lit(None).cast("struct<" + ", ".join(f"{n}: string" for n in _OLD) + ">")
 
 
 # -- logs --------------------------------------------------------------------------
@@ -212,7 +225,7 @@ def order_info(orders: DataFrame) -> DataFrame:
     )
     inserts = _change(
         orders, "order_info", F.lit("insert"), F.unix_seconds(placed),
-        _map(order_status=F.lit(codes.ORDER_UNPAID), operate_time=F.lit(None), **base), _no_old(),
+        _row(order_status=F.lit(codes.ORDER_UNPAID), operate_time=F.lit(None), **base), _no_old(),
     )
     status = (
         F.when(F.col("o_orderstatus") == "P", F.lit(codes.ORDER_PAID))
@@ -220,11 +233,11 @@ def order_info(orders: DataFrame) -> DataFrame:
         .otherwise(F.lit(codes.ORDER_REFUNDING))
     )
     old = F.when(
-        _mod("o_orderkey", 5) == 0, _map(operate_time=_text(placed))
-    ).otherwise(_map(order_status=F.lit(codes.ORDER_UNPAID)))
+        _mod("o_orderkey", 5) == 0, _old()
+    ).otherwise(_old(order_status=F.lit(codes.ORDER_UNPAID)))
     updates = _change(
         orders.where(F.col("o_orderstatus").isin("P", "F")), "order_info", F.lit("update"),
-        F.unix_seconds(later), _map(order_status=status, operate_time=_text(later), **base), old,
+        F.unix_seconds(later), _row(order_status=status, operate_time=_text(later), **base), old,
     )
     return inserts.unionByName(updates)
 
@@ -235,12 +248,12 @@ def payment_info(orders: DataFrame) -> DataFrame:
     return _change(
         orders.where(F.col("o_orderstatus") == "P"), "payment_info", F.lit("update"),
         F.unix_seconds(paid),
-        _map(
+        _row(
             id=F.col("o_orderkey"), order_id=F.col("o_orderkey"),
             payment_type=F.substring("o_orderpriority", 1, 1), create_time=_text(paid),
             payment_status=done,
         ),
-        _map(payment_status=F.lit("1601")),
+        _old(),
     )
 
 
@@ -252,7 +265,7 @@ def order_detail(lineitem: DataFrame) -> DataFrame:
     shipped = _ts("l_shipdate")
     return _change(
         lineitem, "order_detail", F.lit("insert"), F.unix_seconds(shipped),
-        _map(
+        _row(
             id=_detail_id(), order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"),
             sku_name=F.concat(F.lit("sku-"), _s("l_partkey")),
             order_price=_money("l_extendedprice"), sku_num=F.col("l_quantity").cast("bigint"),
@@ -271,7 +284,7 @@ def _promotion(lineitem: DataFrame, name: str, **entries: Column) -> DataFrame:
         F.min(F.unix_seconds(_ts("l_shipdate"))).alias("at")
     )
     return _change(
-        once, name, F.lit("insert"), F.col("at"), _map(order_detail_id=F.col("id"), **entries), _no_old()
+        once, name, F.lit("insert"), F.col("at"), _row(order_detail_id=F.col("id"), **entries), _no_old()
     )
 
 
@@ -298,7 +311,7 @@ def promotions_of_orders(orders: DataFrame) -> list[DataFrame]:
     def made(name: str, n: int, **entries: Column) -> DataFrame:
         rows = orders.where(_mod("o_orderkey", n) == 0)
         return _change(
-            rows, name, F.lit("insert"), at, _map(order_detail_id=first, **entries), _no_old()
+            rows, name, F.lit("insert"), at, _row(order_detail_id=first, **entries), _no_old()
         )
 
     return [
@@ -312,7 +325,7 @@ def order_refund_info(lineitem: DataFrame) -> DataFrame:
     return _change(
         lineitem.where(F.col("l_returnflag") == "R"), "order_refund_info", F.lit("insert"),
         F.unix_seconds(shipped),
-        _map(
+        _row(
             id=_detail_id(), user_id=F.col("l_suppkey"), order_id=F.col("l_orderkey"),
             sku_id=F.col("l_partkey"), refund_type=_mod("l_linenumber", 5) + 1,
             refund_num=F.col("l_quantity").cast("bigint"), refund_amount=_money("l_extendedprice"),
@@ -329,7 +342,7 @@ def refund_payment(lineitem: DataFrame) -> DataFrame:
     return _change(
         lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")),
         "refund_payment", F.lit("insert"), F.unix_seconds(back),
-        _map(
+        _row(
             id=_detail_id(), order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"),
             payment_type=_mod("l_linenumber", 5) + 1, callback_time=_text(back),
             total_amount=_money("l_extendedprice"), refund_status=done,
@@ -348,11 +361,11 @@ def cart_info(events: DataFrame) -> DataFrame:
     at = _ts("ts")
     k = F.get_json_object("props", "$.k")
     old = F.when(
-        _mod("event_id", 5) == 0, _map(is_checked=F.lit("0"))
-    ).otherwise(_map(sku_num=k))
+        _mod("event_id", 5) == 0, _old()
+    ).otherwise(_old(sku_num=k))
     return _typed_by(
         events, None, "cart_info", 4,
-        _map(
+        _row(
             id=F.col("event_id"), user_id=F.col("user_id"), sku_id=k,
             cart_price=_money("value"), sku_num=F.floor("value"), sku_name=F.col("event_type"),
             is_checked=F.lit("1"), create_time=_text(at), operate_time=_text(at),
@@ -366,7 +379,7 @@ def cart_info(events: DataFrame) -> DataFrame:
 def comment_info(events: DataFrame) -> DataFrame:
     return _typed_by(
         events, "click", "comment_info", 2,
-        _map(
+        _row(
             id=F.col("event_id"), user_id=F.col("user_id"), sku_id=F.get_json_object("props", "$.k"),
             order_id=F.col("event_id"), create_time=_text(_ts("ts")),
             appraise=_mod("event_id", 5) + 1,
@@ -378,7 +391,7 @@ def comment_info(events: DataFrame) -> DataFrame:
 def favor_info(events: DataFrame) -> DataFrame:
     return _typed_by(
         events, "view", "favor_info", 2,
-        _map(
+        _row(
             id=F.col("event_id"), user_id=F.col("user_id"), sku_id=F.get_json_object("props", "$.k"),
             create_time=_text(_ts("ts")),
         ),
@@ -389,11 +402,11 @@ def favor_info(events: DataFrame) -> DataFrame:
 def coupon_use(events: DataFrame) -> DataFrame:
     at = _text(_ts("ts"))
     old = F.when(
-        _mod("event_id", 5) == 0, _map(get_time=at)
-    ).otherwise(_map(coupon_status=F.lit(codes.COUPON_UNUSED)))
+        _mod("event_id", 5) == 0, _old()
+    ).otherwise(_old(coupon_status=F.lit(codes.COUPON_UNUSED)))
     return _typed_by(
         events, "purchase", "coupon_use", 4,
-        _map(
+        _row(
             id=F.col("event_id"), coupon_id=_mod("user_id", 9), user_id=F.col("user_id"),
             order_id=F.col("event_id"), get_time=at,
             using_time=at, used_time=F.when(_mod("event_id", 3) == 0, at),
@@ -408,7 +421,7 @@ def coupon_use(events: DataFrame) -> DataFrame:
 def user_info(events: DataFrame) -> DataFrame:
     return _typed_by(
         events, "signup", "user_info", 2,
-        _map(id=F.col("user_id"), create_time=_text(_ts("ts"))), _no_old(),
+        _row(id=F.col("user_id"), create_time=_text(_ts("ts"))), _no_old(),
     )
 
 
@@ -425,7 +438,9 @@ def change_log(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """All change records as one topic, or those of the named tables.
 
     The table name is a constant of each part, so a job that filters on it reads only
-    the parts it needs either way; naming them merely makes for a smaller plan.
+    the parts it needs either way; naming them merely makes for a smaller plan. ``data``
+    and ``old`` are typed here (a struct of the tables' columns), which lets column
+    pruning reach the files; parsed from JSON they are maps. Jobs work on either.
     """
     parts = [
         make(table(spark, sf_dir, source))
@@ -433,7 +448,7 @@ def change_log(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
         for make in makers
         if not names or make.__name__ in names
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def raw_changes(events: DataFrame) -> DataFrame:
@@ -507,6 +522,8 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     and customers, which no configuration claims."""
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
 
+    no_old = F.lit(None).cast(STRING_MAP)
+
     def sku(rows: DataFrame, type_: str, ts: int, name: Column) -> DataFrame:
         return _change(
             rows, "sku_info", F.lit(type_), F.lit(ts),
@@ -514,7 +531,7 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                 id=F.col("p_partkey"), sku_name=name, tm_id=F.col("p_brand"),
                 price=_money("p_retailprice"), weight=F.lit(None),
             ),
-            _no_old(),
+            no_old,
         )
 
     name = F.col("p_name")
@@ -527,11 +544,11 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             _change(
                 supplier, "base_category3", F.lit("bootstrap-insert"), F.lit(1),
                 _map(id=F.col("s_suppkey"), name=F.col("s_name"), category2_id=F.col("s_nationkey")),
-                _no_old(),
+                no_old,
             ),
             _change(
-                table(spark, sf_dir, "customer"), "user_info", F.lit("insert"), F.lit(1),
-                _map(id=F.col("c_custkey"), name=F.col("c_name")), _no_old(),
+                table(spark, sf_dir, "customer"), "customer_info", F.lit("insert"), F.lit(1),
+                _map(id=F.col("c_custkey"), name=F.col("c_name")), no_old,
             ),
         ],
     )
@@ -542,8 +559,8 @@ CONFIG_ROWS = (
     ("r", 1, "sku_info", "dim_sku_info", "id,sku_name", None),
     ("u", 2, "sku_info", "dim_sku_info", "id,sku_name,tm_id,weight", "id"),
     ("c", 1, "base_category3", "dim_base_category3", "id,name", None),
-    ("c", 1, "user_info", "dim_user_info", "id,name", "id"),
-    ("d", 2, "user_info", None, None, None),
+    ("c", 1, "customer_info", "dim_customer_info", "id,name", "id"),
+    ("d", 2, "customer_info", None, None, None),
 )
 
 
