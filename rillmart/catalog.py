@@ -508,6 +508,14 @@ def _wide(spark, sf):
     return dwd_db.trade_order_pre_process(t.change_log(spark, sf, *_WIDE_TABLES), _dic(spark, sf))
 
 
+def _placed(spark, sf):
+    """Placed orders for readers that use no promotion."""
+    log = t.change_log(spark, sf, "order_info", "order_detail")
+    return dwd_db.trade_order_detail(
+        dwd_db.trade_order_pre_process(log, _dic(spark, sf), promotions=False)
+    )
+
+
 _TIES = [
     "oi_ts", "sku_id", "source_id", "order_price", "sku_num", "split_activity_amount",
     "split_coupon_amount", "source_type",
@@ -593,13 +601,14 @@ def dws_cart_uu(spark, sf):
 
 @query
 def dws_order_users(spark, sf):
-    return dws.trade_order(dwd_db.trade_order_detail(_wide(spark, sf)), WIDE)
+    return dws.trade_order(_placed(spark, sf), WIDE)
 
 
 @query
 def dws_payment_users(spark, sf):
-    log, dic = t.change_log(spark, sf, *_WIDE_TABLES, "payment_info"), _dic(spark, sf)
-    detail = dwd_db.trade_order_detail(dwd_db.trade_order_pre_process(log, dic))
+    log, dic = t.change_log(spark, sf, "order_info", "order_detail", "payment_info"), _dic(spark, sf)
+    wide = dwd_db.trade_order_pre_process(log, dic, promotions=False)
+    detail = dwd_db.trade_order_detail(wide)
     return dws.payment_suc(dwd_db.trade_pay_detail_suc(log, detail, dic), WIDE)
 
 
@@ -610,8 +619,9 @@ def dws_province_order(spark, sf):
 
 @query
 def dws_sku_order(spark, sf):
-    detail = dwd_db.trade_order_detail(_wide(spark, sf))
-    return dws.sku_order(detail, t.dims(spark, sf), WIDE, version=["od_ts"], ties=_TIES)
+    return dws.sku_order(
+        _placed(spark, sf), t.dims(spark, sf), WIDE, version=["od_ts"], ties=_TIES
+    )
 
 
 @query

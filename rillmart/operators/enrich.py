@@ -94,17 +94,27 @@ def add_trademark(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return enrich(fact, dims["dim_base_trademark"], "trademark_id", {"trademark_name": "tm_name"})
 
 
-def add_sku(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Whole snowflake of a SKU: product, trademark and three category levels.
+_SKU_ATTRIBUTES = (
+    "spu_id spu_name trademark_id trademark_name category3_id category3_name category2_id "
+    "category2_name category1_id category1_name"
+).split()
+
 
-    The links (which product, trademark and category) come from the SKU; each later
-    lookup uses a key found by an earlier one, and a missing key simply misses.
+def sku_snowflake(dims: dict[str, DataFrame]) -> DataFrame:
+    """SKUs with product, trademark and three category levels, unique on ``sku_id``.
+
+    Each later lookup uses a key found by an earlier one, and a missing key simply
+    misses. The links are resolved among dimensions, whose rows are fewer than any
+    fact's.
     """
-    out = enrich(
-        fact,
-        dims["dim_sku_info"],
-        "sku_id",
-        {"spu_id": "spu_id", "trademark_id": "tm_id", "category3_id": "category3_id"},
+    sku = dims["dim_sku_info"].select(
+        F.col("id").alias("sku_id"), "spu_id", F.col("tm_id").alias("trademark_id"), "category3_id"
     )
-    out = enrich(out, dims["dim_spu_info"], "spu_id", {"spu_name": "spu_name"})
+    out = enrich(sku, dims["dim_spu_info"], "spu_id", {"spu_name": "spu_name"})
     return add_categories(add_trademark(out, dims), dims)
+
+
+def add_sku(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Whole snowflake of a SKU, in one join of the fact."""
+    attributes = {c: c for c in _SKU_ATTRIBUTES}
+    return enrich(fact, sku_snowflake(dims), "sku_id", attributes, dim_key="sku_id")

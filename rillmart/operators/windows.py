@@ -27,11 +27,14 @@ def window_agg(
     keys = keys or []
     aggs = [c.alias(n) for n, c in (measures or {}).items()]
     grouped = df.groupBy(F.window(rt, size).alias("_w"), *keys).agg(*aggs)
+    return _bounded(grouped, [*keys, *(measures or {})])
+
+
+def _bounded(grouped: DataFrame, columns: list[str]) -> DataFrame:
     return grouped.select(
         F.date_format("_w.start", FULL).alias("stt"),
         F.date_format("_w.end", FULL).alias("edt"),
-        *keys,
-        *(measures or {}),
+        *columns,
     )
 
 
@@ -63,11 +66,14 @@ def window_count_distinct(
 ) -> DataFrame:
     """Distinct values per window and keys.
 
-    In batch the distinct values are spread by value before they are counted, so a
-    hot group is split; on a stream the values of a window form its state.
+    Values are first made distinct, spread by value, and then counted, so a hot group is
+    split and no group is ever gathered. A stream keeps one small state row per distinct
+    value until its window closes.
     """
-    if df.isStreaming:
-        count = F.size(F.collect_set(what)).cast("bigint")
-    else:
-        count = F.countDistinct(what)
-    return window_agg(df, size, keys, {name: count}, rt)
+    keys = keys or []
+    if not df.isStreaming:
+        return window_agg(df, size, keys, {name: F.countDistinct(what)}, rt)
+    parts = ["_w", *keys, what]
+    distinct = df.select(F.window(rt, size).alias("_w"), *keys, what).dropDuplicates(parts)
+    counted = distinct.groupBy("_w", *keys).agg(F.count(what).alias(name))
+    return _bounded(counted, [*keys, name])

@@ -134,6 +134,7 @@ def trade_order_pre_process(
     dic: DataFrame | None,
     span: str | None = None,
     delay: str | None = None,
+    promotions: bool = True,
 ) -> DataFrame:
     """Order wide rows: detail x order change, with promotions and source name.
 
@@ -143,15 +144,15 @@ def trade_order_pre_process(
 
     A stream joins the order first, so a row without promotions waits as little as
     possible. Batch joins both promotions first, on one partitioning by detail id, while
-    there is still one row per detail, and then exchanges the result by order id.
+    there is still one row per detail, and then exchanges the result by order id. With
+    ``promotions=False`` their columns are left out, for readers that use none of them; a
+    detail has at most one promotion of each kind, so rows stay the same.
     """
     details = name_code(order_details(changes), dic, "source_type")
     orders = order_changes(changes)
-    activities, coupons = detail_activities(changes), detail_coupons(changes)
     if span:
         details = _stamped(details, delay, "od_ts")
         orders = _stamped(orders, delay, "oi_ts")
-        activities, coupons = _stamped(activities, delay), _stamped(coupons, delay)
 
     def with_order(df: DataFrame) -> DataFrame:
         return interval_join(df, orders, [("order_id", "order_id")], span=span)
@@ -159,12 +160,15 @@ def trade_order_pre_process(
     def with_promotions(df: DataFrame) -> DataFrame:
         by_detail = [("id", "order_detail_id")]
         for side, keep in (
-            (activities, ["activity_id", "activity_rule_id"]),
-            (coupons, ["coupon_id", "coupon_use_id"]),
+            (detail_activities(changes), ["activity_id", "activity_rule_id"]),
+            (detail_coupons(changes), ["coupon_id", "coupon_use_id"]),
         ):
+            side = _stamped(side, delay) if span else side
             df = interval_join(df, side, by_detail, "left", span=span, keep=keep)
         return df
 
+    if not promotions:
+        return with_order(details).drop("rt")
     if changes.isStreaming:
         return with_promotions(with_order(details)).drop("rt")
     return with_order(with_promotions(details)).drop("rt")

@@ -237,10 +237,13 @@ def user_refund(
 
 
 def refund_orders_window(refunds: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Stream half of ``user_refund``: the orders of each user and SKU per window."""
+    """Stream half of ``user_refund``: the orders of each user and SKU per window.
+
+    One row per order, so neither state nor output gathers a user's orders.
+    """
     rows = tm.with_event_time(refunds, tm.from_seconds("ts"), settings.delay)
     return window_agg(
-        rows, settings.window, ["user_id", "sku_id"], {"order_ids": F.collect_set("order_id")}
+        rows, settings.window, ["user_id", "sku_id", "order_id"], {"n": F.count(F.lit(1))}
     )
 
 
@@ -250,8 +253,7 @@ def count_refunds(closed: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     A window closes for all its groups at once, so the orders of several SKUs of one
     trademark and category meet here and are counted once.
     """
-    orders = closed.select("stt", "edt", "user_id", "sku_id", F.explode("order_ids").alias("order_id"))
-    counted = _with_sku_links(orders, dims).groupBy("stt", "edt", *_REFUND_KEYS).agg(
+    counted = _with_sku_links(closed, dims).groupBy("stt", "edt", *_REFUND_KEYS).agg(
         F.countDistinct("order_id").alias("refund_count")
     )
     return name_refunds(counted, dims)

@@ -57,8 +57,8 @@ def _map(**entries: Column) -> Column:
     return F.create_map(*pairs)
 
 
-def _row(**entries: Column) -> Column:
-    return F.struct(*[v.cast("string").alias(k) for k, v in entries.items()])
+def _row(**entries: Column) -> dict[str, Column]:
+    return {k: v.cast("string") for k, v in entries.items()}
 
 
 #: columns whose former values some job reads
@@ -67,7 +67,7 @@ _OLD = ("order_status", "coupon_status", "sku_num")
 
 def _old(**entries: Column) -> Column:
     none = F.lit(None)
-    return _row(**{name: entries.get(name, none) for name in _OLD})
+    return F.struct(*[entries.get(n, none).cast("string").alias(n) for n in _OLD])
 
 
 def _no_old() -> Column:
@@ -201,15 +201,32 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- change records ----------------------------------------------------------------
 
 
-def _change(df: DataFrame, name: str, type_: Column, ts: Column, data: Column, old: Column) -> DataFrame:
-    return df.select(
+def _change(
+    df: DataFrame,
+    name: str,
+    type_: Column,
+    ts: Column,
+    data: Column | dict[str, Column],
+    old: Column,
+) -> DataFrame:
+    """Change records of one table.
+
+    Typed data is computed as columns first and then packed, so that reading one field
+    of the struct needs only that column of the files.
+    """
+    head = [
         F.lit("shop").alias("database"),
         F.lit(name).alias("table"),
         type_.alias("type"),
         ts.cast("bigint").alias("ts"),
-        data.alias("data"),
         old.alias("old"),
-    )
+    ]
+    if isinstance(data, dict):
+        flat = df.select(*head, *[v.alias(f"_{k}") for k, v in data.items()])
+        packed = F.struct(*[F.col(f"_{k}").alias(k) for k in data])
+    else:
+        flat, packed = df.select(*head, data.alias("_data")), F.col("_data")
+    return flat.select("database", "table", "type", "ts", packed.alias("data"), "old")
 
 
 def order_info(orders: DataFrame) -> DataFrame:
@@ -442,12 +459,11 @@ def change_log(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     and ``old`` are typed here (a struct of the tables' columns), which lets column
     pruning reach the files; parsed from JSON they are maps. Jobs work on either.
     """
-    parts = [
-        make(table(spark, sf_dir, source))
-        for source, makers in _CHANGE_TABLES.items()
-        for make in makers
-        if not names or make.__name__ in names
-    ]
+    parts = []
+    for source, makers in _CHANGE_TABLES.items():
+        wanted = [m for m in makers if not names or m.__name__ in names]
+        rows = table(spark, sf_dir, source) if wanted else None
+        parts += [make(rows) for make in wanted]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
