@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -719,9 +718,8 @@ def stream_order_wide(spark, sf):
         orders = t.stream_table(session, sf, "orders")
         parts = [t.order_info(orders), *t.promotions_of_orders(orders)]
         parts.append(t.order_detail(t.stream_table(session, sf, "lineitem")))
-        log = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         dic = _dic(session, sf)
-        wide = dwd_db.trade_order_pre_process(log, dic, span="30 days", delay="1 day")
+        wide = dwd_db.trade_order_pre_process(t.as_topic(*parts), dic, span="30 days", delay="1 day")
         return wide.select("id", "order_id", "order_status", "source_type", "od_ts", "oi_ts",
                            "activity_id", "coupon_id")
 

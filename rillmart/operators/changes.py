@@ -1,4 +1,9 @@
-"""Filters and projections over database change records."""
+"""Filters and projections over database change records.
+
+The values of a record are reached as ``data.column``. That reads an entry of a ``data``
+map (records parsed from JSON), a field of a ``data`` struct, or a plain column of a table
+under the alias ``data``, whichever the input has.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def field(name: str) -> Column:
     """New value of a column; null when the record does not carry it."""
-    return F.col("data")[name]
+    return F.col(f"data.{name}")
 
 
 def previous(name: str) -> Column:
     """Value before the change; null unless this very column changed."""
-    return F.col("old")[name]
+    return F.col(f"old.{name}")
 
 
 def of_table(changes: DataFrame, table: str, *types: str) -> DataFrame:

@@ -211,22 +211,41 @@ def _change(
 ) -> DataFrame:
     """Change records of one table.
 
-    Typed data is computed as columns first and then packed, so that reading one field
-    of the struct needs only that column of the files.
+    Typed data stays plain columns, which ``as_topic`` puts under the alias ``data``; a map
+    stays a map.
     """
-    head = [
+    if isinstance(data, dict):
+        values = [v.alias(k) for k, v in data.items()]
+    else:
+        values = [data.alias("data")]
+    return df.select(
         F.lit("shop").alias("database"),
         F.lit(name).alias("table"),
         type_.alias("type"),
         ts.cast("bigint").alias("ts"),
         old.alias("old"),
-    ]
-    if isinstance(data, dict):
-        flat = df.select(*head, *[v.alias(f"_{k}") for k, v in data.items()])
-        packed = F.struct(*[F.col(f"_{k}").alias(k) for k in data])
-    else:
-        flat, packed = df.select(*head, data.alias("_data")), F.col("_data")
-    return flat.select("database", "table", "type", "ts", packed.alias("data"), "old")
+        *values,
+    )
+
+
+_HEAD = ("database", "table", "type", "ts", "old")
+
+
+def as_topic(*parts: DataFrame) -> DataFrame:
+    """Typed change records of several tables as one topic.
+
+    The union of their columns, reached as ``data.column``: jobs address them like the
+    entries of parsed records, and column pruning reaches the files.
+    """
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).alias("data")
+
+
+def as_records(changes: DataFrame) -> DataFrame:
+    """Typed change records in wire form, their values packed into ``data``."""
+    values = [c for c in changes.columns if c not in _HEAD]
+    return changes.select(
+        "database", "table", "type", "ts", F.struct(*values).alias("data"), "old"
+    )
 
 
 def order_info(orders: DataFrame) -> DataFrame:
@@ -455,21 +474,19 @@ def change_log(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """All change records as one topic, or those of the named tables.
 
     The table name is a constant of each part, so a job that filters on it reads only
-    the parts it needs either way; naming them merely makes for a smaller plan. ``data``
-    and ``old`` are typed here (a struct of the tables' columns), which lets column
-    pruning reach the files; parsed from JSON they are maps. Jobs work on either.
+    the parts it needs either way; naming them merely makes for a smaller plan.
     """
     parts = []
     for source, makers in _CHANGE_TABLES.items():
         wanted = [m for m in makers if not names or m.__name__ in names]
         rows = table(spark, sf_dir, source) if wanted else None
         parts += [make(rows) for make in wanted]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return as_topic(*parts)
 
 
 def raw_changes(events: DataFrame) -> DataFrame:
     """Coupon records as JSON text with dirt: cut records, and snapshot markers."""
-    rows = coupon_use_with_seq(events)
+    rows = as_records(coupon_use(events)).withColumn("seq", F.col("data.id").cast("bigint"))
     whole = F.to_json(F.struct("database", "table", "type", "ts", "data", "old"))
     value = (
         F.when(_mod("seq", 50) == 7, F.lit("not json"))
@@ -480,11 +497,6 @@ def raw_changes(events: DataFrame) -> DataFrame:
     return rows.select("seq", value.alias("value"))
 
 
-def coupon_use_with_seq(events: DataFrame) -> DataFrame:
-    rows = coupon_use(events)
-    return rows.withColumn("seq", F.col("data")["id"].cast("bigint"))
-
-
 # -- dictionary and dimensions -----------------------------------------------------
 
 

@@ -37,15 +37,19 @@ def warehouse(spark, sf, tmp_path_factory):
     log = t.raw_log(t.table(spark, sf, "events"))
     topics.writer("topic_log")(log.select(F.lit("topic_log").alias("topic"), "value"), 0)
     orders = t.table(spark, sf, "orders")
-    changes = t.change_log(
-        spark, sf, "order_info", "order_detail", "payment_info", "order_refund_info",
-        "refund_payment", "cart_info", "comment_info", "favor_info", "coupon_use", "user_info",
-    )
-    for part in t.promotions_of_orders(orders):
-        changes = changes.unionByName(part, allowMissingColumns=True)
-    value = F.to_json(F.struct("database", "table", "type", "ts", "data", "old"))
-    texts = changes.select(value.alias("value")).unionByName(
-        t.dim_changes(spark, sf).select(value.alias("value"))
+    facts = [
+        make(t.table(spark, sf, source))
+        for source, makers in {
+            "orders": (t.order_info, t.payment_info),
+            "lineitem": (t.order_detail, t.order_refund_info, t.refund_payment),
+            "events": (t.cart_info, t.comment_info, t.favor_info, t.coupon_use, t.user_info),
+        }.items()
+        for make in makers
+    ]
+    changes = t.as_topic(*facts, *t.promotions_of_orders(orders))
+    value = F.to_json(F.struct("database", "table", "type", "ts", "data", "old")).alias("value")
+    texts = t.as_records(changes).select(value).unionByName(
+        t.dim_changes(spark, sf).select(value)
     )
     topics.writer("topic_db")(texts.withColumn("topic", F.lit("topic_db")), 0)
     w = Warehouse(
