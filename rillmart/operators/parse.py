@@ -56,6 +56,20 @@ def parse_app_log(raw: DataFrame, keep: list[str] | None = None) -> tuple[DataFr
     return good.select(*(keep or []), "rec.*"), dirty
 
 
+def parse_app_log_whole(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Both at once: parsed columns, and in ``bad`` the text of a record that is dirty.
+
+    For jobs that send good and dirty rows on in a single pass.
+    """
+    parsed = parse_json(raw, APP_LOG, keep=keep)
+    usable = F.coalesce(F.col("rec.common.mid").isNotNull(), F.lit(False))
+    return parsed.select(
+        *(keep or []),
+        F.when(~usable, F.col("value")).alias("bad"),
+        *[F.when(usable, F.col(f"rec.{n}")).alias(n) for n in APP_LOG.names],
+    )
+
+
 def parse_changes(raw: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Change records; snapshot markers carry no row and count as dirty."""
     parsed = parse_json(raw, CHANGE, keep=keep)

@@ -48,7 +48,8 @@ def tagged(log: DataFrame, topics: dict[str, str], extra: tuple[str, ...] = ())
 
     ``topics`` names the topic of each kind (page, start, action, display, error). One
     scan of the log feeds every sink: a topic sink routes rows by the column, a file
-    sink partitions by it.
+    sink partitions by it. A log that also holds dirty text in ``bad`` sends it to the
+    ``dirty`` topic.
     """
 
     def entry(kind: str, value: Column) -> Column:
@@ -62,15 +63,18 @@ def tagged(log: DataFrame, topics: dict[str, str], extra: tuple[str, ...] = ())
             array, lambda i: entry(kind, F.to_json(F.struct(i.alias(name), *_HEAD)))
         )
 
-    is_page = F.col("start").isNull()
+    good = F.col("bad").isNull() if "bad" in log.columns else F.lit(True)
+    is_page = good & F.col("start").isNull()
     start = F.to_json(F.struct("common", "start", "page", "actions", "displays", "ts"))
     rows = F.concat(
         when(F.col("err").isNotNull(), F.array(entry("error", F.col("err")))),
-        when(~is_page, F.array(entry("start", start))),
+        when(good & ~is_page, F.array(entry("start", start))),
         when(is_page, F.array(entry("page", F.to_json(F.struct(*_HEAD))))),
         when(is_page & F.col("actions").isNotNull(), items("actions", "action", "action")),
         when(is_page & F.col("displays").isNotNull(), items("displays", "display", "display")),
     )
+    if "bad" in log.columns:
+        rows = F.concat(rows, when(~good, F.array(entry("dirty", F.col("bad")))))
     return log.select(*extra, F.inline(rows))
 
 

@@ -30,17 +30,18 @@ def repair_new_visitors(
     The first record fixes the first visit: its own day when it claims to be new,
     the day before otherwise. A later claim on another day is wrong. Needs flat
     ``mid, ts, seq, is_new, dt``; only the earliest record per visitor is shuffled
-    to find the first day, and the log itself is joined in salted pieces.
+    to find the first day, and the log itself is joined in salted pieces. Records without
+    a visitor stay as they are.
     """
     claims_new = F.coalesce(F.col("is_new") == "1", F.lit(False))
-    first = log.groupBy(key).agg(
+    first = log.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.min(F.struct("ts", seq, "dt", claims_new.alias("new"))).alias("first")
     )
     first_day = F.when(F.col("first.new"), F.col("first.dt")).otherwise(
         F.date_sub(F.col("first.dt"), 1)
     )
     first = first.select(key, first_day.alias("first_day"))
-    joined = salted_join(log, first, [key], [seq, "ts"], "inner", salts)
+    joined = salted_join(log, first, [key], [seq, "ts"], "left", salts)
     wrong = (F.col("is_new") == "1") & (F.col("first_day") != F.col("dt"))
     return joined.withColumn("is_new", F.when(wrong, F.lit("0")).otherwise(F.col("is_new"))).drop(
         "first_day"

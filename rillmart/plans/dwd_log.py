@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rillmart.functions import time as tm
 from rillmart.operators import sequence, split, visitors
-from rillmart.operators.parse import parse_app_log
+from rillmart.operators.parse import parse_app_log_whole
 from rillmart.settings import DEFAULTS, Settings
 
 
@@ -24,25 +24,24 @@ def repair(log: DataFrame, extra: tuple[str, ...] = ("seq",), settings: Settings
     )
 
 
-#: topics of the five kinds, plus the quarantine of unusable records
+#: topics of the five kinds, and the quarantine of unusable records
 TOPICS = {
     "page": "dwd_traffic_page_log",
     "start": "dwd_traffic_start_log",
     "display": "dwd_traffic_display_log",
     "action": "dwd_traffic_action_log",
     "error": "dwd_traffic_error_log",
+    "dirty": "dirty",
 }
-DIRTY = "dirty"
 
 
 def base_log(raw: DataFrame, seq: str = "seq", settings: Settings = DEFAULTS) -> DataFrame:
-    """Raw JSON log to (seq, topic, value): five topics and the quarantine.
+    """Raw JSON log to (seq, topic, value): five topics and the quarantine, in one pass.
 
     Rows that do not parse, or name no device, keep their text under ``dirty``.
     """
-    log, dirty = parse_app_log(raw, keep=[seq])
-    rows = split.tagged(repair(log, (seq,), settings), TOPICS, (seq,))
-    return rows.unionByName(dirty.select(seq, F.lit(DIRTY).alias("topic"), "value"))
+    log = parse_app_log_whole(raw, keep=[seq])
+    return split.tagged(repair(log, (seq,), settings), TOPICS, (seq,))
 
 
 def unique_visitor_detail(page_log: DataFrame) -> DataFrame:

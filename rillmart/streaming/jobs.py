@@ -168,7 +168,7 @@ def base_log(w: Warehouse):
     fixed = stateful.repair_new_visitors(flat)
     fixed = fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
     rows = split.tagged(fixed, dwd_log.TOPICS)
-    rows = rows.unionByName(dirty.select(F.lit(dwd_log.DIRTY).alias("topic"), "value"))
+    rows = rows.unionByName(dirty.select(F.lit(dwd_log.TOPICS["dirty"]).alias("topic"), "value"))
     return rows, w.topics.writer("base_log")
 
 
