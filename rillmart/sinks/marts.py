@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillmart.schemas import TRANSIENT, columns
+from rillmart.sinks.upsert import read_latest, write_batch
 
 
 def mart_rows(df: DataFrame, table: str) -> DataFrame:
@@ -25,6 +26,28 @@ def parquet_writer(path: str, table: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def revising_writer(path: str, table: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """Write windows as they change, for queries in ``update`` mode.
+
+    A window is readable from its first row on and is revised by every later one until
+    the watermark passes it: the delay acts as allowed lateness. Read the newest
+    revision with ``revised``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = mart_rows(batch, table)
+        write_batch(out, batch_id, f"{path}/{table}", ["stt", "edt", *keys], [], collapse=False)
+
+    return write
+
+
+def revised(
+    spark: SparkSession, path: str, table: str, keys: list[str], schema: str
+) -> DataFrame:
+    """Newest revision of each window written by ``revising_writer``."""
+    return read_latest(spark, f"{path}/{table}", schema, ["stt", "edt", *keys], [])
+
+
 def jdbc_writer(
     url: str, table: str, batch_size: int = 10_000, **options: str
 ) -> Callable[[DataFrame, int], None]:

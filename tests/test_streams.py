@@ -1,12 +1,21 @@
 """Stream faces against batch faces, over several micro-batches."""
 
+import os
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from rillmart.functions import time as tm
 from rillmart.operators import sequence, visitors, windows
+from rillmart.plans import dws
+from rillmart.session import streaming_session
+from rillmart.sinks import marts
 from rillmart.sources import tables as t
-from rillmart.streaming import stateful
+from rillmart.streaming import run, stateful
+from rillmart.streaming.processors import Bounce
 from streams import Feed
 
 DAY = 86_400_000
@@ -158,6 +167,37 @@ def test_late_rows(spark, tmp_path):
     ]
 
 
+def test_windows_revised_by_late_rows(spark, tmp_path):
+    """Update mode: early results at once, revised while the delay lasts, replay-safe."""
+    name = "dws_user_user_register_window"
+    feed = Feed(spark, tmp_path, "ts bigint")
+    path = str(tmp_path / "marts")
+    write = marts.revising_writer(path, name, [])
+
+    def go():
+        rows_ = dws.user_register(feed.stream(streaming_session(spark)))
+        run.finish(run.start_batches(
+            rows_, write, str(tmp_path / "checkpoint"), {"availableNow": True}, "update"
+        ), 300)
+        schema = "stt string, edt string, register_ct bigint, ts bigint"
+        return rows(marts.revised(spark, path, name, [], schema), "stt", "register_ct")
+
+    s0 = T0 // 1000
+    feed.add([(s0 + 1,)])
+    assert go() == [("2024-01-01 00:00:00", 1)]
+    feed.add([(s0 + 11,)]).add([(s0 + 9,)])  # late, but the window is still open
+    assert go() == [("2024-01-01 00:00:00", 2), ("2024-01-01 00:00:10", 1)]
+
+
+def test_processors_travel_by_value():
+    """Workers that lack the package can still load a processor."""
+    data = cloudpickle.dumps(Bounce(1000))
+    code = "import pickle, sys; print(pickle.load(sys.stdin.buffer).horizon_ms)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], input=data, capture_output=True, cwd="/", env=env)
+    assert out.stdout.strip() == b"1000", out.stderr
+
+
 def test_restart_from_checkpoint(spark, tmp_path, log, in_order):
     feed = fed(spark, tmp_path, in_order[:2])
     first = feed.run(stateful.unique_visitors).count()
