@@ -41,14 +41,24 @@ def full_string(ms: Column | str) -> Column:
     return F.date_format(from_ms(ms), FULL)
 
 
+def _parsed(text: Column | str, full: bool) -> Column:
+    """Timestamp of a date or date-time string of just that length, else null.
+
+    The length check plus the cast's own parser is several times as fast as a format
+    pattern, and these strings are parsed once per fact.
+    """
+    col = _col(text)
+    return F.when(F.length(col) == (19 if full else 10), col.try_cast("timestamp"))
+
+
 def to_ms(text: Column | str, full: bool = False) -> Column:
     """``yyyy-MM-dd`` (or the full form) to epoch milliseconds; unparsable gives null."""
-    return F.unix_millis(F.try_to_timestamp(_col(text), F.lit(FULL if full else DAY)))
+    return F.unix_millis(_parsed(text, full))
 
 
 def parse_full(text: Column | str) -> Column:
     """Full date-time string to timestamp; unparsable gives null."""
-    return F.try_to_timestamp(_col(text), F.lit(FULL))
+    return _parsed(text, full=True)
 
 
 def row_stamp(text: Column | str) -> Column:

@@ -459,6 +459,17 @@ def test_province_skips_what_it_cannot_read(spark):
     ]
 
 
+def test_unreadable_order_times_count_for_nobody(spark):
+    df = spark.createDataFrame(
+        [("u", "yesterday"), ("u", None), ("u", "2024-01-01 00:00:01"), ("u", "2024-01-02 00:00:01")],
+        "user_id string, create_time string",
+    )
+    names = ("stt", "order_unique_user_count", "order_new_user_count")
+    assert rows(dws.trade_order(df), *names) == [
+        ("2024-01-01 00:00:00", 1, 1), ("2024-01-02 00:00:00", 1, 0)
+    ]
+
+
 # -- functions ---------------------------------------------------------------------
 
 
