@@ -160,7 +160,7 @@ def schedule(spark: SparkSession, of: list[Share], block: int = BLOCK_WORDS) ->
         wanted.join(counts.groupBy("src").agg(F.sum("n").alias("got")), "src", "left")
         .where(F.coalesce("got", F.lit(0)) < F.col("quota"))
         .select("src", F.explode(F.sequence(F.coalesce("got", F.lit(0)), F.col("quota") - 1)).alias("rank"))
-        .select("src", "rank", (F.lit(slots) + F.col("rank")).alias("slot"))
+        .select("src", "rank", (F.lit(slots) + F.col("rank") * len(quota) + F.col("src")).alias("slot"))
     )
     return ranked.unionByName(rest)
 

@@ -1,0 +1,34 @@
+import pytest
+from pyspark.sql import types as T
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def llm(spark):
+    from rillmart.llm.common import ready
+
+    ready(spark)
+    return spark
+
+
+@pytest.fixture(scope="session")
+def odd(llm):
+    """Documents with nulls anywhere, ties, repeated rows, odd texts, and clashing extra columns."""
+    long = "word " * 30_000
+    prose = " ".join(f"w{i}" for i in range(60)) + "."
+    rows = [
+        (1, None, None, None, None), (None, "no id here", "en", "a", 3), (None, None, None, None, None),
+        (2, "", "en", "a", 0), (3, " \n\t ", "en", "b", 4), (4, long, "en", "b", len(long)),
+        (5, prose, "en", "a", len(prose)), (5, prose, "en", "a", len(prose)), (6, prose, "de", None, len(prose)),
+        (7, prose + " extra", "de", "b", 0), (8, "é" * 5000 + "😀 \x1c <|endoftext|>", "fr", "c", 1),
+        (9, "mail a.b@c.de +1 (988) 555-2485 4785380592391139 and 10.0.0.1", "en", "c", 1),
+    ]
+    extra = "size long, kept boolean, _row string, fp long, shard int, `a b` string"
+    data = [(*r, 99, True, "x", 7, 3, "y") for r in rows]
+    return llm.createDataFrame(data, f"{DOCUMENTS}, {extra}")
+
+
+@pytest.fixture(scope="session")
+def empty(llm, odd):
+    return llm.createDataFrame([], odd.schema)
