@@ -21,7 +21,7 @@ HEADLINE = (
     "dws_user_register", "dws_cart_uu", "dws_order_users", "dws_payment_users",
     "dws_province_order", "dws_sku_order", "dws_refund",
     "order_wide", "dwd_trade_order_detail", "dwd_trade_pay_detail_suc", "dwd_trade_order_refund",
-    "dwd_trade_refund_pay_suc", "dwd_trade_cart_add", "base_log", "scan_changelog",
+    "dwd_trade_refund_pay_suc", "dwd_trade_cancel_detail", "dwd_trade_cart_add", "base_log", "scan_changelog",
     "new_visitor_fix", "unique_visitors", "user_jump", "login_backflow", "order_user_flags",
     "dedup_latest", "upsert_latest", "cdc_current_state", "dim_upsert", "dim_snowflake",
     "join_within_interval", "window_keyed_sum", "window_count_distinct", "keyword_tokens",

@@ -516,7 +516,7 @@ def _placed(spark, sf):
 
 
 _TIES = [
-    "oi_ts", "sku_id", "source_id", "order_price", "sku_num", "split_activity_amount",
+    "sku_id", "source_id", "order_price", "sku_num", "split_activity_amount",
     "split_coupon_amount", "source_type",
 ]
 
@@ -524,7 +524,7 @@ _TIES = [
 def _order_detail(spark, sf):
     """Placed orders as their upsert table holds them: one row per detail."""
     return latest.latest_per_key(
-        dwd_db.trade_order_detail(_wide(spark, sf)), ["id"], ["od_ts"], _TIES
+        dwd_db.trade_order_detail(_wide(spark, sf)), ["order_id", "id"], ["od_ts", "oi_ts"], _TIES
     )
 
 
@@ -540,8 +540,11 @@ def dwd_trade_order_detail(spark, sf):
 
 @query
 def dwd_trade_cancel_detail(spark, sf):
+    wide = dwd_db.trade_order_pre_process(
+        t.change_log(spark, sf, *_WIDE_TABLES), _dic(spark, sf), orders_first=True
+    )
     return latest.latest_per_key(
-        dwd_db.trade_cancel_detail(_wide(spark, sf)), ["id"], ["od_ts"], _TIES
+        dwd_db.trade_cancel_detail(wide), ["order_id", "id"], ["od_ts", "oi_ts"], _TIES
     )
 
 

@@ -78,6 +78,21 @@ def parse_changes(raw: DataFrame, keep: list[str] | None = None) -> tuple[DataFr
     return good.select(*(keep or []), "rec.*"), dirty
 
 
+def parse_changes_whole(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Both at once: typed columns, and in ``bad`` the text of a record that is dirty."""
+    parsed = parse_json(raw, CHANGE, keep=keep)
+    usable = F.coalesce(
+        F.col("rec").isNotNull()
+        & ~F.coalesce(F.col("rec.type"), F.lit("")).isin(*codes.BOOTSTRAP_MARKERS),
+        F.lit(False),
+    )
+    return parsed.select(
+        *(keep or []),
+        F.when(~usable, F.col("value")).alias("bad"),
+        *[F.when(usable, F.col(f"rec.{n}")).alias(n) for n in CHANGE.names],
+    )
+
+
 def parse_config(raw: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Change envelopes of the dimension configuration."""
     parsed = parse_json(raw, CONFIG_CHANGE, keep=keep)

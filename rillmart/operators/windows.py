@@ -27,10 +27,11 @@ def window_agg(
     keys = keys or []
     aggs = [c.alias(n) for n, c in (measures or {}).items()]
     grouped = df.groupBy(F.window(rt, size).alias("_w"), *keys).agg(*aggs)
-    return _bounded(grouped, [*keys, *(measures or {})])
+    return bounded(grouped, [*keys, *(measures or {})])
 
 
-def _bounded(grouped: DataFrame, columns: list[str]) -> DataFrame:
+def bounded(grouped: DataFrame, columns: list[str]) -> DataFrame:
+    """A window column ``_w`` as its two bounds, next to the named columns."""
     return grouped.select(
         F.date_format("_w.start", FULL).alias("stt"),
         F.date_format("_w.end", FULL).alias("edt"),
@@ -76,4 +77,4 @@ def window_count_distinct(
     parts = ["_w", *keys, what]
     distinct = df.select(F.window(rt, size).alias("_w"), *keys, what).dropDuplicates(parts)
     counted = distinct.groupBy("_w", *keys).agg(F.count(what).alias(name))
-    return _bounded(counted, [*keys, name])
+    return bounded(counted, [*keys, name])

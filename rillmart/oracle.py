@@ -89,7 +89,7 @@ CTES = {
         LEFT JOIN cou c ON c.detail_id = d.detail_id""",
     "order_detail": """
         SELECT * EXCLUDE (type, old_status) FROM wide WHERE type = 'insert'
-        QUALIFY row_number() OVER (PARTITION BY id ORDER BY od_ts DESC, oi_ts, sku_id, source_id,
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY od_ts DESC, oi_ts DESC, sku_id, source_id,
             order_price, sku_num, split_activity_amount NULLS LAST, split_coupon_amount NULLS LAST,
             source_type) = 1""",
     "refund_info": """
@@ -489,7 +489,7 @@ SQL = {
     "dwd_trade_order_detail": f"SELECT {_DETAIL_OUT} FROM order_detail",
     "dwd_trade_cancel_detail": f"""
         SELECT {_DETAIL_OUT} FROM wide WHERE type = 'update' AND order_status = '1003'
-        QUALIFY row_number() OVER (PARTITION BY id ORDER BY od_ts DESC, oi_ts, sku_id, source_id,
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY od_ts DESC, oi_ts DESC, sku_id, source_id,
             order_price, sku_num, split_activity_amount NULLS LAST, split_coupon_amount NULLS LAST,
             source_type) = 1""",
     "dwd_trade_pay_detail_suc": f"SELECT {_DETAIL_OUT}, payment_type, pay_time FROM ({_PAID.format(detail='order_detail')})",

@@ -135,6 +135,7 @@ def trade_order_pre_process(
     span: str | None = None,
     delay: str | None = None,
     promotions: bool = True,
+    orders_first: bool = False,
 ) -> DataFrame:
     """Order wide rows: detail x order change, with promotions and source name.
 
@@ -146,7 +147,8 @@ def trade_order_pre_process(
     possible. Batch joins both promotions first, on one partitioning by detail id, while
     there is still one row per detail, and then exchanges the result by order id. With
     ``promotions=False`` their columns are left out, for readers that use none of them; a
-    detail has at most one promotion of each kind, so rows stay the same.
+    detail has at most one promotion of each kind, so rows stay the same. A reader that
+    keeps few orders asks for ``orders_first``: promotions then meet those lines only.
     """
     details = name_code(order_details(changes), dic, "source_type")
     orders = order_changes(changes)
@@ -169,11 +171,28 @@ def trade_order_pre_process(
 
     if not promotions:
         return with_order(details).drop("rt")
-    if changes.isStreaming:
+    if changes.isStreaming or orders_first:
         return with_promotions(with_order(details)).drop("rt")
     return with_order(with_promotions(details)).drop("rt")
 
 
+PROMOTIONS = ("activity_id", "activity_rule_id", "coupon_id", "coupon_use_id")
+
+
+def trade_order_revisions(changes: DataFrame, span: str, delay: str) -> DataFrame:
+    """Stream of order wide rows that waits for no promotion.
+
+    Each row comes out at once without promotions, and again with them once they are
+    certain; keyed tables keep the later version, and marts that use no promotion count
+    the first.
+    """
+    plain = trade_order_pre_process(changes, None, span, delay, promotions=False)
+    full = trade_order_pre_process(changes, None, span, delay)
+    plain = plain.withColumns({c: F.lit(None).cast("string") for c in PROMOTIONS})
+    promoted = full.where(F.col("activity_id").isNotNull() | F.col("coupon_id").isNotNull())
+    return plain.unionByName(promoted)
+
+
 def trade_order_detail(order_wide: DataFrame) -> DataFrame:
     """Placed orders."""
     return order_wide.where(F.col("type") == "insert").drop("type", "old")

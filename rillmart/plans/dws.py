@@ -15,7 +15,7 @@ from rillmart.functions.money import MONEY, amount_or_zero
 from rillmart.operators import enrich, keywords, visitors
 from rillmart.operators.changes import complete, fields, of_table
 from rillmart.operators.latest import latest_per_key
-from rillmart.operators.windows import window_agg, window_count_distinct, window_sum
+from rillmart.operators.windows import bounded, window_agg, window_count_distinct, window_sum
 from rillmart.settings import DEFAULTS, Settings
 
 _TRAFFIC_KEYS = ["vc", "ch", "ar", "is_new"]
@@ -28,7 +28,7 @@ def _number(n: int) -> Column:
 def _measures(df: DataFrame, **given: Column) -> DataFrame:
     names = ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")
     return df.select(
-        *_TRAFFIC_KEYS, "ts", *[given.get(n, _number(0)).alias(n) for n in names]
+        *_TRAFFIC_KEYS, *[c for c in ("ts", "rt") if c in df.columns], *[given.get(n, _number(0)).alias(n) for n in names]
     )
 
 
@@ -48,9 +48,14 @@ def traffic_measures(pages: DataFrame, unique: DataFrame, jumps: DataFrame) -> D
 def traffic_page_view(
     pages: DataFrame, unique: DataFrame, jumps: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    rows = tm.with_event_time(
-        traffic_measures(pages, unique, jumps), tm.from_ms("ts"), settings.traffic_delay
-    )
+    """Each input has its own watermark, and the slowest counts: bounces, which are found
+    late, are not overtaken by pages. On a stream an idle input therefore holds windows open.
+    """
+
+    def stamped(df: DataFrame) -> DataFrame:
+        return tm.with_event_time(df, tm.from_ms("ts"), settings.traffic_delay)
+
+    rows = traffic_measures(stamped(pages), stamped(unique), stamped(jumps))
     sums = {n: n for n in ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")}
     return window_sum(rows, settings.window, _TRAFFIC_KEYS, sums)
 
@@ -60,8 +65,13 @@ def source_keyword(page_log: DataFrame, settings: Settings = DEFAULTS) -> DataFr
     searched = tm.with_event_time(
         keywords.search_pages(page_log), tm.from_ms("ts"), settings.delay
     )
-    words = keywords.explode_words(searched, "item", keep=["rt"])
-    counts = window_agg(words, settings.window, ["keyword"], {"keyword_count": F.count(F.lit(1))})
+    # the window is the page's, so it is found before the page becomes words
+    paged = searched.select(F.window("rt", settings.window).alias("_w"), "item")
+    words = keywords.explode_words(paged, "item", keep=["_w"])
+    counts = bounded(
+        words.groupBy("_w", "keyword").agg(F.count(F.lit(1)).alias("keyword_count")),
+        ["keyword", "keyword_count"],
+    )
     return counts.withColumn("source", F.lit(codes.KEYWORD_SEARCH))
 
 

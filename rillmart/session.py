@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-from rillmart.settings import DEFAULTS
+from rillmart.settings import DEFAULTS, STATE_PARTITIONS
 
 #: Runtime SQL settings. Skewed joins are split by AQE even where the split costs
 #: one more exchange further up, and small shuffles are coalesced at run time, so
@@ -51,31 +51,42 @@ def tune(spark: SparkSession, zone: str | None = None) -> SparkSession:
     return spark
 
 
-def streaming_session(spark: SparkSession, zone: str | None = None) -> SparkSession:
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, with one file system."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
+def streaming_session(
+    spark: SparkSession, zone: str | None = None, state_partitions: int | None = None
+) -> SparkSession:
     """A sibling session for stateful queries.
 
     State is laid out once for the lifetime of a checkpoint, so the number of
-    state partitions follows the cores of the cluster rather than the batch
-    session's shuffle setting. Both sessions share one SparkContext.
+    state partitions is a setting of its own; a local session takes its cores.
+    Both sessions share one SparkContext.
     """
     sibling = spark.newSession()
     tune(sibling, zone or spark.conf.get("spark.sql.session.timeZone"))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    sibling.conf.set(
-        "spark.sql.shuffle.partitions", str(max(2, spark.sparkContext.defaultParallelism))
-    )
+    if state_partitions is None:
+        cores = max(2, spark.sparkContext.defaultParallelism)
+        state_partitions = cores if is_local(spark) else STATE_PARTITIONS
+    sibling.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return sibling
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
-    Only where ``spark.checkpoint.dir`` is unset (a local run) is a fresh
-    temporary folder made and remembered in the session.
+    Where ``spark.checkpoint.dir`` is unset, a local session makes a fresh temporary
+    folder and remembers it; on a cluster that folder would be one machine's, so it is
+    an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="rillmart-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made

@@ -29,8 +29,24 @@ class Settings:
     broadcast_bytes: int = 64 * 1024 * 1024
     #: ... or, where no size is known, when it has at most this many rows
     broadcast_rows: int = 200_000
+    #: whether a dimension row whose source row is deleted goes too
+    honour_deletes: bool = False
+    #: partitions of keyed state, fixed for the life of a checkpoint; None: the cores of a
+    #: local session, or STATE_PARTITIONS on a cluster
+    state_partitions: int | None = None
     #: pieces a hot key is cut into where a join needs an explicit salt
     salts: int = 8
 
 
+    @property
+    def revision_delay(self) -> str:
+        """How late a row may come that has waited for both its promotions."""
+        number, unit = self.order_retention.split()
+        wait, delay_unit = self.delay.split()
+        return f"{2 * int(number)} {unit} {wait} {delay_unit}"
+
+
 DEFAULTS = Settings()
+
+#: state partitions on a cluster, whose cores may not have registered at start
+STATE_PARTITIONS = 200

@@ -20,14 +20,18 @@ def writer(
 
     One job writes all dimensions, each into its own partition; a dimension appears
     with its first row. The configuration is read afresh for each batch, so a change
-    of it applies from the next batch on.
+    of it applies from the next batch on. Of changes within one second the transaction
+    with the larger number wins, then a delete over an update over an insert.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = dim_sink(batch, config(), config_version, keep=["ts"])
+        rows = dim_sink(batch, config(), config_version, keep=["ts", "xid"])
+        step = F.when(F.col("type") == "delete", 2).when(F.col("type") == "update", 1).otherwise(0)
+        rows = rows.withColumn("step", step)
         deleted = F.col("type") == "delete" if honour_deletes else None
         write_batch(
-            rows, batch_id, path, ["sink_table", "pk"], ["ts"], ["type"], deleted, ["sink_table"]
+            rows, batch_id, path, ["sink_table", "pk"], ["ts", "xid", "step"], None, deleted,
+            ["sink_table"],
         )
 
     return write

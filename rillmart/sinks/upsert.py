@@ -60,7 +60,8 @@ def read_changelog(spark: SparkSession, path: str, schema: str | T.StructType) -
     full = full.add(_DELETED, T.BooleanType()).add("batch_id", T.LongType())
     try:
         recent = spark.read.schema(full).parquet(deltas(path))
-    except AnalysisException:  # nothing was written yet
+    except AnalysisException as e:
+        _only_missing(e)
         recent = spark.createDataFrame([], full)
     upto = compacted_upto(spark, path)
     if upto is None:
@@ -69,6 +70,12 @@ def read_changelog(spark: SparkSession, path: str, schema: str | T.StructType) -
     return recent.where(F.col("batch_id") > upto).unionByName(base)
 
 
+def _only_missing(e: AnalysisException) -> None:
+    """Nothing written yet is an empty table; anything else is an error."""
+    if e.getCondition() != "PATH_NOT_FOUND":
+        raise e
+
+
 def read_latest(
     spark: SparkSession,
     path: str,
@@ -87,7 +94,8 @@ def compacted_upto(spark: SparkSession, path: str) -> int | None:
     """Last batch folded into the newest base, or None without one."""
     try:
         bases = spark.read.parquet(f"{path}/base").select(F.col("upto").cast("bigint").alias("u"))
-    except AnalysisException:
+    except AnalysisException as e:
+        _only_missing(e)
         return None
     return bases.agg(F.max("u")).first()[0]
 

@@ -18,7 +18,7 @@ class Topics:
 
     ``kind``: ``files`` (``root`` is a folder, one sub-folder per producing job) or
     ``kafka`` (``options`` are passed to source and sink). ``limit`` bounds a
-    micro-batch: files or offsets per trigger.
+    micro-batch: files or offsets per trigger; None takes a bound that suits the kind.
     """
 
     kind: str = "files"
@@ -27,6 +27,11 @@ class Topics:
     limit: int | None = None
     starting_offsets: str = "latest"
 
+    @property
+    def bound(self) -> int:
+        """Files or offsets that a micro-batch takes at most."""
+        return self.limit or (1_000_000 if self.kind == "kafka" else 1_000)
+
     def read(self, spark: SparkSession, topic: str, producer: str | None = None) -> DataFrame:
         """Unbounded stream of the topic's payloads, as one ``value`` column.
 
@@ -37,13 +42,11 @@ class Topics:
             reader = spark.readStream.format("kafka").options(**self.options)
             reader = reader.option("subscribe", topic)
             reader = reader.option("startingOffsets", self.starting_offsets)
-            if self.limit:
-                reader = reader.option("maxOffsetsPerTrigger", self.limit)
+            reader = reader.option("maxOffsetsPerTrigger", self.bound)
             rows = reader.load().select(F.col("value").cast("string").alias("value"))
         elif self.kind == "files":
             reader = spark.readStream.option("recursiveFileLookup", "true")
-            if self.limit:
-                reader = reader.option("maxFilesPerTrigger", self.limit)
+            reader = reader.option("maxFilesPerTrigger", self.bound)
             rows = reader.text(f"{self.root}/{producer or topic}/*/topic={topic}")
         else:
             raise ValueError(f"unknown kind of topics: {self.kind}")

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rillmart.functions import time as tm
 from rillmart.operators import split, visitors
 from rillmart.operators.enrich import checked_broadcast
-from rillmart.operators.parse import parse_app_log, parse_changes, parse_json
+from rillmart.operators.parse import parse_app_log, parse_changes, parse_changes_whole, parse_json
 from rillmart.plans import dwd_db, dwd_log, dws
 from rillmart.schemas import FLAT_PAGE, PAGE_RECORD, columns, fact_schema
 from rillmart.session import streaming_session
@@ -58,7 +58,9 @@ class Warehouse:
     trigger: dict = field(default_factory=lambda: {"processingTime": "5 seconds"})
 
     def __post_init__(self) -> None:
-        self.session = streaming_session(self.spark, self.settings.zone)
+        self.session = streaming_session(
+            self.spark, self.settings.zone, self.settings.state_partitions
+        )
 
     def start(self, name: str) -> StreamingQuery:
         stream, write = JOBS[name](self)
@@ -86,7 +88,7 @@ class Warehouse:
 
     def follow(self, table: str) -> DataFrame:
         return upsert.follow(
-            self.session, self.table_path(table), fact_schema(table), self.topics.limit
+            self.session, self.table_path(table), fact_schema(table), self.topics.bound
         )
 
     def dictionary(self, batch: DataFrame) -> DataFrame:
@@ -113,11 +115,14 @@ class Warehouse:
         make: Callable[[DataFrame], DataFrame] = lambda b: b,
         collapse: bool = True,
     ) -> Write:
+        """Last write wins; within a batch the later order change, then the version of a row
+        that has its promotions."""
+
         def emit(batch: DataFrame, batch_id: int) -> None:
             rows = _arrived(make(batch), columns(name)).select(*columns(name))
             upsert.write_batch(
-                rows, batch_id, self.table_path(name), ["id"], ["row_op_ts"], ["oi_ts"],
-                collapse=collapse,
+                rows, batch_id, self.table_path(name), ["id"], ["row_op_ts", "oi_ts"],
+                ["activity_id", "coupon_id"], collapse=collapse,
             )
 
         return emit
@@ -149,13 +154,19 @@ def _arrived(df: DataFrame, wanted: list[str]) -> DataFrame:
 
 @job
 def dim_sink_app(w: Warehouse):
+    """Dimension rows to their tables; records that cannot be used to the quarantine."""
+    quarantine = w.topics.writer("dim_sink_app")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         sink = dim_sink.writer(
-            w.table_path("dims"), lambda: w.config(batch.sparkSession), w.config_version
+            w.table_path("dims"), lambda: w.config(batch.sparkSession), w.config_version,
+            w.settings.honour_deletes,
         )
-        sink(batch, batch_id)
+        sink(batch.where("bad is null").drop("bad"), batch_id)
+        dirty = batch.where("bad is not null")
+        quarantine(dirty.select(F.lit(dwd_log.TOPICS["dirty"]).alias("topic"), F.col("bad").alias("value")), batch_id)
 
-    return w.changes(), write
+    return parse_changes_whole(w.topics.read(w.session, "topic_db")), write
 
 
 @job
@@ -219,9 +230,7 @@ _simple("dwd_user_register", dwd_db.user_register)
 
 @job
 def dwd_trade_order_pre_process(w: Warehouse):
-    wide = dwd_db.trade_order_pre_process(
-        w.changes(), None, w.settings.order_retention, w.settings.delay
-    )
+    wide = dwd_db.trade_order_revisions(w.changes(), w.settings.order_retention, w.settings.delay)
 
     def make(batch: DataFrame) -> DataFrame:
         return dwd_db.name_code(batch, w.dictionary(batch), "source_type")
@@ -243,8 +252,10 @@ def dwd_trade_cancel_detail(w: Warehouse):
 
 @job
 def dwd_trade_pay_detail_suc(w: Warehouse):
+    """Versions with promotions come up to two retentions late. The details' watermark
+    allows for that; an inner join waits for no watermark, so only state lives longer."""
     detail = tm.with_event_time(
-        w.follow("dwd_trade_order_detail"), tm.from_seconds("oi_ts"), w.settings.delay
+        w.follow("dwd_trade_order_detail"), tm.from_seconds("oi_ts"), w.settings.revision_delay
     )
     paid = dwd_db.trade_pay_detail_suc(
         w.changes(), detail, None, w.settings.order_retention, w.settings.delay
@@ -365,8 +376,8 @@ def dws_trade_province_order_window(w: Warehouse):
 
 @job
 def dws_trade_sku_order_window(w: Warehouse):
-    """The order join emits a detail once, so versions of it are equal and the first
-    one within the watermark stands for all."""
+    """A detail's first version, which waits for no promotion, stands for all: the mart uses
+    none, and later versions of it are equal but for their promotions."""
     rows = dws.sku_amounts(w.follow("dwd_trade_order_detail"))
     rows = tm.with_event_time(rows, tm.from_seconds("od_ts"), w.settings.delay)
     summed = dws.sku_window(rows.dropDuplicatesWithinWatermark(["id"]), w.settings)

@@ -167,10 +167,12 @@ def test_dimensions_orders_and_trade_marts(warehouse, sf):
     batch = dwd_db.trade_order_pre_process(
         w.batch_changes, t.base_dic(spark, sf), span="30 days", delay="2 seconds"
     )
-    stream_rows = rows(wide, "id", "order_status", "oi_ts", "activity_id", "coupon_id", "source_type")
-    batch_rows = rows(batch, "id", "order_status", "oi_ts", "activity_id", "coupon_id", "source_type")
-    assert stream_rows and len(stream_rows) == wide.count()
-    assert not Counter(stream_rows) - Counter(batch_rows)  # nothing but final batch rows
+    # every row is there at once, without promotions; what has promotions has the right ones
+    key = ("id", "order_status", "oi_ts", "source_type")
+    assert rows(wide.select(*key).distinct(), *key) == rows(batch, *key)
+    promoted = wide.where("activity_id is not null or coupon_id is not null")
+    late = rows(promoted, *key, "activity_id", "coupon_id")
+    assert not Counter(late) - Counter(rows(batch, *key, "activity_id", "coupon_id"))
 
     go(w, "dwd_trade_order_detail", "dwd_trade_cancel_detail", "dwd_trade_pay_detail_suc")
     detail = upsert.read_latest(
@@ -212,3 +214,59 @@ def test_refunds(warehouse, sf):
     last = refunds.agg(F.max("ts")).first()[0] * 1000 - 2000
     want = closed(dws.user_refund(refunds, dims, SETTINGS), last)
     assert rows(mart(w, name), *columns(name)) == rows(want, *columns(name))
+
+
+def test_no_order_line_is_lost_with_production_delays(spark, tmp_path):
+    """Lines with and without promotions, one order per micro-batch, DEFAULTS' delays.
+
+    The last order moves every input's watermark far on; its own rows stay open.
+    """
+    settings = replace(DEFAULTS, zone="UTC")
+    topics = Topics(root=str(tmp_path / "topics"), limit=1)
+    dic = spark.createDataFrame([("1", "web", "", "", "")], "dic_code string, dic_name string, "
+                                "parent_code string, create_time string, operate_time string")
+    w = Warehouse(spark, str(tmp_path), topics, lambda s: dic, t.config_changes, settings=settings,
+                  trigger={"availableNow": True})
+    base = 1_660_000_000
+
+    def record(table, ts, **data):
+        return json.dumps({"table": table, "type": "insert", "ts": ts, "data": data})
+
+    def at(ts):
+        return spark.range(1).select(F.date_format(F.timestamp_seconds(F.lit(ts)), tm.FULL)).first()[0]
+
+    sent = []
+    for i in range(6):
+        ts = base + 40 * i if i < 5 else base + 7200
+        sent.append([
+            record("order_info", ts, id=f"o{i}", order_status="1001", user_id=f"u{i % 3}", province_id="1"),
+            record("order_detail", ts, id=f"d{i}", order_id=f"o{i}", sku_id=f"s{i % 2}", sku_name="n",
+                   order_price="2.00", sku_num="3", create_time=at(ts), source_type="1", source_id="1",
+                   split_total_amount="6.00"),
+            *([record("order_detail_activity", ts, order_detail_id=f"d{i}", activity_id="a")] if i % 2 else []),
+            *([record("order_detail_coupon", ts, order_detail_id=f"d{i}", coupon_id="c")] if i in (3, 5) else []),
+        ])
+    for i, texts in enumerate(sent):
+        df = spark.createDataFrame([("topic_db", x) for x in texts], "topic string, value string")
+        topics.writer("topic_db")(df.coalesce(1), i)
+    changes, _ = parse.parse_changes(
+        spark.createDataFrame([(x,) for texts in sent for x in texts], "value string")
+    )
+    go(w, "dwd_trade_order_pre_process", "dwd_trade_order_detail")
+    schema = fact_schema("dwd_trade_order_detail")
+    detail = upsert.read_latest(spark, w.table_path("dwd_trade_order_detail"), schema, ["id"],
+                                ["row_op_ts", "oi_ts"], ["activity_id", "coupon_id"])
+    batch = dwd_db.trade_order_detail(dwd_db.trade_order_pre_process(changes, dic))
+    assert rows(detail, "id") == rows(batch, "id")
+    early = rows(detail.where("id <> 'd5'"), "id", "activity_id", "coupon_id")
+    assert early == rows(batch.where("id <> 'd5'"), "id", "activity_id", "coupon_id")
+
+    go(w, "dws_trade_sku_order_window", "dws_trade_order_window")
+    name, last = "dws_trade_sku_order_window", (base + 7200) * 1000 - 2000
+    dims = lookup.dimensions(spark, w.table_path("dims"))
+    stamped = batch.withColumn("row_op_ts", F.current_timestamp())
+    want = closed(dws.sku_order(stamped, dims, settings), last)
+    assert want.count() == 5 and rows(mart(w, name), *columns(name)) == rows(want, *columns(name))
+    name = "dws_trade_order_window"
+    want = closed(dws.trade_order(batch, settings), last)
+    assert want.count() == 3 and rows(mart(w, name), *columns(name)) == rows(want, *columns(name))

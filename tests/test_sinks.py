@@ -103,3 +103,28 @@ def test_dimension_store(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(sink_table" in plan
     assert rows(lookup.dimension(spark, path, "dim_t2", ["code"]), "code") == [("c",)]
     assert lookup.dimensions(spark, path)["dim_sku_info"].count() == 0
+
+
+def test_later_change_of_one_second_wins_and_deletes_can_count(spark, tmp_path):
+    same_second = [
+        ("t1", "insert", 1, {"id": "1", "name": "old"}, None), ("t1", "update", 1, {"id": "1", "name": "new"}, None),
+        ("t1", "insert", 1, {"id": "2", "name": "x"}, None), ("t1", "delete", 1, {"id": "2", "name": "x"}, None),
+    ]
+    for honour, want in ((False, [("1", "new"), ("2", "x")]), (True, [("1", "new")])):
+        path = str(tmp_path / str(honour))
+        write = dim_store.writer(path, lambda: config(spark), ["ts_ms"], honour)
+        write(changes(spark, same_second), 0)
+        assert rows(lookup.dimension(spark, path, "dim_t1", ["id", "name"]), "id", "name") == want
+
+
+def test_order_tables_keep_the_later_change_of_a_batch(spark, tmp_path):
+    path = str(tmp_path)
+    df = spark.createDataFrame([("a", 1, 5, None), ("a", 1, 9, None), ("b", 1, 5, None), ("b", 1, 5, "act")],
+                               "id string, row bigint, oi bigint, activity string")
+    upsert.write_batch(df, 0, path, ["id"], ["row", "oi"], ["activity"])
+    got = upsert.read_latest(spark, path, df.schema, ["id"], ["row", "oi"], ["activity"])
+    assert rows(got, "id", "oi", "activity") == [("a", 9, None), ("b", 5, "act")]
+
+
+def test_a_table_that_was_never_written_reads_as_empty(spark, tmp_path):
+    assert upsert.read_changelog(spark, str(tmp_path / "none"), SCHEMA).count() == 0
