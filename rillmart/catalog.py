@@ -713,6 +713,19 @@ def stream_user_jump(spark, sf):
     return run.drain(spark, build, "stream_user_jump").drop("rt", "last_page_id")
 
 
+@query
+def stream_dedup_latest(spark, sf):
+    """The newest detail of each product, once its hold of five seconds is over."""
+
+    def build(session):
+        log = t.as_topic(t.order_detail(t.stream_table(session, sf, "lineitem")))
+        details = dwd_db.order_details(log).select("sku_id", "od_ts")
+        stamped = details.withColumn("rt", tm.from_seconds("od_ts"))
+        return stateful.latest_after_hold(stamped, "sku_id", "od_ts", 5_000)
+
+    return run.drain(spark, build, "stream_dedup_latest").select("sku_id", "od_ts")
+
+
 @query
 def stream_order_wide(spark, sf):
     """The order join on streams: each side remembers thirty days of event time."""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rillmart import codes
-from rillmart.schemas import APP_LOG, CHANGE, CONFIG_CHANGE
+from rillmart.functions import jsontext as js
+from rillmart.schemas import APP_LOG, CHANGE, CONFIG_CHANGE, LOG_TEXT
 
 _CORRUPT = "_corrupt"
 
@@ -56,17 +57,34 @@ def parse_app_log(raw: DataFrame, keep: list[str] | None = None) -> tuple[DataFr
     return good.select(*(keep or []), "rec.*"), dirty
 
 
-def parse_app_log_whole(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Both at once: parsed columns, and in ``bad`` the text of a record that is dirty.
+def parse_log_text(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Application logs with their objects as JSON text, for the log split.
 
-    For jobs that send good and dirty rows on in a single pass.
+    Adds ``mid`` and ``is_new``, the record's members of other names as text in ``rest``,
+    and the whole text of a record that is dirty in ``bad``. A record is dirty too whose
+    page, start or array items are no objects: no topic could take them.
     """
-    parsed = parse_json(raw, APP_LOG, keep=keep)
-    usable = F.coalesce(F.col("rec.common.mid").isNotNull(), F.lit(False))
-    return parsed.select(
+    parsed = parse_json(raw, LOG_TEXT, keep=keep)
+    fields = {n: F.col(f"rec.{n}") for n in LOG_TEXT.names}
+    mid = F.get_json_object(fields["common"], "$.mid")
+
+    def all_objects(texts: Column) -> Column:
+        return F.forall(texts, lambda i: F.coalesce(js.is_object(i), F.lit(False)))
+
+    shapes = [js.is_object(fields[n]) for n in ("page", "start")]
+    shapes += [all_objects(fields[n]) for n in ("actions", "displays")]
+    usable = F.coalesce(mid.isNotNull(), F.lit(False))
+    for shape in shapes:
+        usable = usable & F.coalesce(shape, F.lit(True))
+    judged = parsed.withColumn("ok", usable)
+    ok = F.col("ok")
+    return judged.select(
         *(keep or []),
-        F.when(~usable, F.col("value")).alias("bad"),
-        *[F.when(usable, F.col(f"rec.{n}")).alias(n) for n in APP_LOG.names],
+        F.when(~ok, F.col("value")).alias("bad"),
+        F.when(ok, mid).alias("mid"),
+        F.when(ok, F.get_json_object(fields["common"], "$.is_new")).alias("is_new"),
+        *[F.when(ok, field).alias(n) for n, field in fields.items()],
+        F.when(ok, js.others(F.col("value"), *LOG_TEXT.names)).alias("rest"),
     )
 
 

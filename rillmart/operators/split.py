@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillmart.functions import time as tm
+from rillmart.functions import jsontext as js, time as tm
 
 _HEAD = ("common", "page", "ts")
 _ENTRIES = "array<struct<topic: string, value: string>>"
@@ -48,8 +48,9 @@ def tagged(log: DataFrame, topics: dict[str, str], extra: tuple[str, ...] = ())
 
     ``topics`` names the topic of each kind (page, start, action, display, error). One
     scan of the log feeds every sink: a topic sink routes rows by the column, a file
-    sink partitions by it. A log that also holds dirty text in ``bad`` sends it to the
-    ``dirty`` topic.
+    sink partitions by it. Takes a log as ``parse_log_text`` gives it; dirty text in
+    ``bad`` goes to the ``dirty`` topic. Objects pass through as text. An action or display
+    keeps its members and gets its page's common part, page and time, in place of any of its own.
     """
 
     def entry(kind: str, value: Column) -> Column:
@@ -58,23 +59,26 @@ def tagged(log: DataFrame, topics: dict[str, str], extra: tuple[str, ...] = ())
     def when(condition: Column, entries: Column) -> Column:
         return F.when(condition, entries).otherwise(F.array().cast(_ENTRIES))
 
-    def items(array: str, kind: str, name: str) -> Column:
+    part = {n: js.member(n, F.col(n).cast("string")) for n in ("common", "page", "start", "ts")}
+    part |= {n: js.member(n, js.array(n)) for n in ("actions", "displays")}
+    head = [part[n] for n in _HEAD]
+
+    def items(array: str, kind: str) -> Column:
         return F.transform(
-            array, lambda i: entry(kind, F.to_json(F.struct(i.alias(name), *_HEAD)))
+            array, lambda i: entry(kind, js.built(js.members(js.without(i, *_HEAD)), *head))
         )
 
-    good = F.col("bad").isNull() if "bad" in log.columns else F.lit(True)
+    good = F.col("bad").isNull()
     is_page = good & F.col("start").isNull()
-    start = F.to_json(F.struct("common", "start", "page", "actions", "displays", "ts"))
+    whole = ("common", "start", "page", "actions", "displays", "ts")
     rows = F.concat(
         when(F.col("err").isNotNull(), F.array(entry("error", F.col("err")))),
-        when(good & ~is_page, F.array(entry("start", start))),
-        when(is_page, F.array(entry("page", F.to_json(F.struct(*_HEAD))))),
-        when(is_page & F.col("actions").isNotNull(), items("actions", "action", "action")),
-        when(is_page & F.col("displays").isNotNull(), items("displays", "display", "display")),
+        when(good & ~is_page, F.array(entry("start", js.built(*[part[n] for n in whole], F.col("rest"))))),
+        when(is_page, F.array(entry("page", js.built(*head, F.col("rest"))))),
+        when(is_page & F.col("actions").isNotNull(), items("actions", "action")),
+        when(is_page & F.col("displays").isNotNull(), items("displays", "display")),
+        when(~good, F.array(entry("dirty", F.col("bad")))),
     )
-    if "bad" in log.columns:
-        rows = F.concat(rows, when(~good, F.array(entry("dirty", F.col("bad")))))
     return log.select(*extra, F.inline(rows))
 
 

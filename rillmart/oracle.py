@@ -602,6 +602,9 @@ SQL |= {
         SELECT mid, seq, ts, page_id, ch FROM uj
         WHERE least(coalesce(next_ts, ts + 21600000), ts + 21600000)
               <= (SELECT max(ts) - 2000 FROM page_log)""",
+    "stream_dedup_latest": """
+        SELECT CAST(sku_id AS VARCHAR) AS sku_id, max(od_ts) AS od_ts FROM details GROUP BY sku_id
+        HAVING min(od_ts) + 5 <= (SELECT max(od_ts) FROM details) - 2""",
     "stream_order_wide": """
         WITH d AS (
             SELECT details.*, dic_name FROM details JOIN dic ON dic_code = CAST(source_code AS VARCHAR)),

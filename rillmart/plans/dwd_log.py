@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from rillmart.functions import time as tm
+from rillmart.functions import jsontext as js, time as tm
 from rillmart.operators import sequence, split, visitors
-from rillmart.operators.parse import parse_app_log_whole
+from rillmart.operators.parse import parse_log_text
 from rillmart.settings import DEFAULTS, Settings
 
 
@@ -24,7 +24,15 @@ def repair(log: DataFrame, extra: tuple[str, ...] = ("seq",), settings: Settings
     )
 
 
-#: topics of the five kinds, and the quarantine of unusable records
+def patched() -> Column:
+    """``common`` with the ``is_new`` found for the visitor in place of the record's own."""
+    text = F.col("common")
+    changed = (F.col("is_new") == "0") & (F.get_json_object(text, "$.is_new") == "1")
+    rest = js.members(js.without(text, "is_new"))
+    return F.when(changed, js.built(F.lit('"is_new":"0"'), rest)).otherwise(text)
+
+
+#: fixed values: topics of the five kinds, and the quarantine of unusable records
 TOPICS = {
     "page": "dwd_traffic_page_log",
     "start": "dwd_traffic_start_log",
@@ -40,8 +48,9 @@ def base_log(raw: DataFrame, seq: str = "seq", settings: Settings = DEFAULTS) ->
 
     Rows that do not parse, or name no device, keep their text under ``dirty``.
     """
-    log = parse_app_log_whole(raw, keep=[seq])
-    return split.tagged(repair(log, (seq,), settings), TOPICS, (seq,))
+    log = parse_log_text(raw, keep=[seq]).withColumn("dt", tm.day("ts"))
+    fixed = visitors.repair_new_visitors(log, seq=seq, salts=settings.salts)
+    return split.tagged(fixed.withColumn("common", patched()), TOPICS, (seq,))
 
 
 def unique_visitor_detail(page_log: DataFrame) -> DataFrame:

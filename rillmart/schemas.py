@@ -17,7 +17,16 @@ def strings(names: str) -> T.StructType:
 COMMON = strings("ar uid os ch is_new md mid vc ba")
 PAGE = strings("page_id item item_type last_page_id").add("during_time", T.LongType())
 
-#: application log record; objects without a fixed shape stay maps or raw JSON
+#: application log record with its objects as JSON text, as the log split passes them on
+LOG_TEXT = (
+    strings("common page start")
+    .add("actions", T.ArrayType(T.StringType()))
+    .add("displays", T.ArrayType(T.StringType()))
+    .add("err", T.StringType())
+    .add("ts", T.LongType())
+)
+
+#: the same record typed, for readers of single fields
 APP_LOG = (
     T.StructType()
     .add("common", COMMON)
@@ -133,13 +142,6 @@ def columns(table: str) -> list[str]:
 #: a page record as the page topic holds it
 PAGE_RECORD = T.StructType().add("common", COMMON).add("page", PAGE).add("ts", T.LongType())
 
-#: flat page records, as the unique-visitor and bounce topics hold them
-FLAT_PAGE = (
-    strings("mid uid vc ch ar is_new page_id item item_type last_page_id")
-    .add("during_time", T.LongType())
-    .add("ts", T.LongType())
-)
-
 _TYPES = {
     "od_ts": T.LongType(),
     "oi_ts": T.LongType(),

@@ -19,9 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 from rillmart.functions import time as tm
 from rillmart.operators import split, visitors
 from rillmart.operators.enrich import checked_broadcast
-from rillmart.operators.parse import parse_app_log, parse_changes, parse_changes_whole, parse_json
+from rillmart.operators.parse import parse_changes, parse_changes_whole, parse_json, parse_log_text
 from rillmart.plans import dwd_db, dwd_log, dws
-from rillmart.schemas import FLAT_PAGE, PAGE_RECORD, columns, fact_schema
+from rillmart.schemas import PAGE_RECORD, columns, fact_schema
 from rillmart.session import streaming_session
 from rillmart.settings import DEFAULTS, Settings
 from rillmart.sinks import dims as dim_sink
@@ -73,9 +73,15 @@ class Warehouse:
 
     def page_log(self) -> DataFrame:
         """Flat page records; ``seq`` breaks ties between records of one millisecond."""
-        raw = self.topics.read(self.session, dwd_log.TOPICS["page"], "base_log")
-        records = _good(raw, PAGE_RECORD, F.xxhash64("value").alias("seq"))
-        return split.flatten_pages(records)
+        return self.flat_pages(dwd_log.TOPICS["page"], "base_log")
+
+    def flat_pages(self, topic: str, producer: str | None = None) -> DataFrame:
+        """Page records of a topic as flat columns, with the whole text in ``record``."""
+        raw = self.topics.read(self.session, topic, producer)
+        records = _good(
+            raw, PAGE_RECORD, F.xxhash64("value").alias("seq"), F.col("value").alias("record")
+        )
+        return split.flatten_pages(records, ("seq", "record"))
 
     def records(self, topic: str, schema, *extra) -> DataFrame:
         return _good(self.topics.read(self.session, topic), schema, *extra)
@@ -172,34 +178,39 @@ def dim_sink_app(w: Warehouse):
 @job
 def base_log(w: Warehouse):
     raw = w.topics.read(w.session, "topic_log").withColumn("seq", F.xxhash64("value"))
-    log, dirty = parse_app_log(raw, keep=["seq"])
-    flat = log.select(
-        "*", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new")
+    log = parse_log_text(raw, keep=["seq"])
+    fixed = stateful.repair_new_visitors(log.where("bad is null"))
+    rows = split.tagged(fixed.withColumn("common", dwd_log.patched()), dwd_log.TOPICS)
+    dirty = log.where("bad is not null").select(
+        F.lit(dwd_log.TOPICS["dirty"]).alias("topic"), F.col("bad").alias("value")
     )
-    fixed = stateful.repair_new_visitors(flat)
-    fixed = fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
-    rows = split.tagged(fixed, dwd_log.TOPICS)
-    rows = rows.unionByName(dirty.select(F.lit(dwd_log.TOPICS["dirty"]).alias("topic"), "value"))
-    return rows, w.topics.writer("base_log")
+    return rows.unionByName(dirty), w.topics.writer("base_log")
+
+
+_VISIT = ("mid", "ts", "seq", "last_page_id", "record")
 
 
-def _flat_topic(w: Warehouse, name: str) -> Write:
+def _record_topic(w: Warehouse, name: str) -> Write:
+    """Whole page records, as they came."""
     write = w.topics.writer(name)
-    return lambda batch, batch_id: write(as_topic(batch, name, FLAT_PAGE.names), batch_id)
+    value = F.col("record").alias("value")
+    return lambda batch, batch_id: write(batch.select(F.lit(name).alias("topic"), value), batch_id)
 
 
 @job
 def dwd_traffic_unique_visitor_detail(w: Warehouse):
-    rows = stateful.unique_visitors(w.page_log().drop("dt"), w.settings.delay)
-    return rows, _flat_topic(w, "dwd_traffic_unique_visitor_detail")
+    rows = stateful.unique_visitors(w.page_log().select(*_VISIT), w.settings.delay)
+    return rows, _record_topic(w, "dwd_traffic_unique_visitor_detail")
 
 
 @job
 def dwd_traffic_user_jump_detail(w: Warehouse):
     rows = stateful.bounces(
-        w.page_log().drop("dt"), horizon_ms=w.settings.bounce_horizon_ms, delay=w.settings.delay
+        w.page_log().select(*_VISIT),
+        horizon_ms=w.settings.bounce_horizon_ms,
+        delay=w.settings.delay,
     )
-    return rows, _flat_topic(w, "dwd_traffic_user_jump_detail")
+    return rows, _record_topic(w, "dwd_traffic_user_jump_detail")
 
 
 # -- facts of one table ------------------------------------------------------------
@@ -298,8 +309,8 @@ def dwd_trade_refund_pay_suc(w: Warehouse):
 
 @job
 def dws_traffic_vc_ch_ar_is_new_page_view_window(w: Warehouse):
-    unique = w.records("dwd_traffic_unique_visitor_detail", FLAT_PAGE)
-    jumps = w.records("dwd_traffic_user_jump_detail", FLAT_PAGE)
+    unique = w.flat_pages("dwd_traffic_unique_visitor_detail")
+    jumps = w.flat_pages("dwd_traffic_user_jump_detail")
     rows = dws.traffic_page_view(w.page_log(), unique, jumps, w.settings)
     return rows, w.to_mart("dws_traffic_vc_ch_ar_is_new_page_view_window")
 

@@ -97,6 +97,37 @@ def test_five_way_split(spark):
     assert "err" not in start and start["start"]["entry"] == "icon"
 
 
+def test_log_records_pass_through_as_written(spark):
+    """Numbers, unknown members and nested values survive; an item's own time gives way."""
+    common = {"mid": 7, "is_new": "1", "x": {"k": [1.25]}}
+    old = {"common": {"mid": 7, "is_new": "0"}, "page": {"page_id": "p"}, "ts": T0}
+    page = {
+        "common": common, "page": {"page_id": "home", "n": 1.5, "deep": [{"a": None}]}, "ts": T0 + 5,
+        "trace": {"id": 9}, "flag": "1", "err": {"code": 3},
+        "actions": [{"action_id": "a", "ts": 123, "pos": 2}, {}],
+        "displays": [{"item": "x", "order": 1, "text": 'a "ts":5 } b'}],
+    }
+    start = {"common": {**common, "is_new": "0"}, "start": {"entry": "icon", "ms": 12}, "ts": T0 + 6,
+             "trace": True}
+    odd = [{"common": common, "page": "home", "ts": 1}, {"common": common, "actions": ["a"], "ts": 1}]
+    texts = [json.dumps(r) for r in (old, page, start, *odd)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "seq bigint, value string")
+    got = {}
+    for r in dwd_log.base_log(df).where("seq > 0").collect():
+        got.setdefault(r.topic, []).append(r.value)
+    names = dwd_log.TOPICS
+    assert sorted(got.pop(names["dirty"])) == sorted(texts[3:])
+    got = {k: [json.loads(v) for v in vs] for k, vs in got.items()}
+    head = {"common": {**common, "is_new": "0"}, "page": page["page"], "ts": T0 + 5}
+    assert got == {
+        names["page"]: [{**head, "trace": {"id": 9}, "flag": "1"}],
+        names["action"]: [{"action_id": "a", "pos": 2, **head}, head],
+        names["display"]: [{**page["displays"][0], **head}],
+        names["error"]: [{"code": 3}],
+        names["start"]: [start],
+    }
+
+
 def test_single_kind_selects_match_the_tagged_pass(spark):
     raw = spark.createDataFrame(
         [(log_record(page={"page_id": "p"}, actions=[{"action_id": "a"}], displays=None),)],
