@@ -33,6 +33,18 @@ def built(*parts: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
+def extended(head: Column, text: Column) -> Column:
+    """The object with the members ``head`` (not empty) before its own."""
+    rest = F.regexp_replace(F.regexp_replace(text, r"^\s*\{\s*\}\s*$", "}"), r"^\s*\{\s*", ",")
+    return F.concat(F.lit("{"), head, rest)
+
+
+def is_flat(text: Column) -> Column:
+    """No brace or bracket but the outer pair; in such an object a quoted name before a colon
+    is a member's name and nothing else."""
+    return ~text.rlike(r"^\s*\{.*[{\[]")
+
+
 def without(text: Column, *names: str) -> Column:
     """The object less the named members; untouched when it has none of them."""
     values = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")

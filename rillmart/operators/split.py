@@ -61,11 +61,13 @@ def tagged(log: DataFrame, topics: dict[str, str], extra: tuple[str, ...] = ())
 
     part = {n: js.member(n, F.col(n).cast("string")) for n in ("common", "page", "start", "ts")}
     part |= {n: js.member(n, js.array(n)) for n in ("actions", "displays")}
-    head = [part[n] for n in _HEAD]
+    # a column of its own, so that it is put together once a record
+    log = log.withColumn("_head", F.concat_ws(",", *[part[n] for n in _HEAD]))
+    head = F.col("_head")
 
     def items(array: str, kind: str) -> Column:
         return F.transform(
-            array, lambda i: entry(kind, js.built(js.members(js.without(i, *_HEAD)), *head))
+            array, lambda i: entry(kind, js.extended(head, js.without(i, *_HEAD)))
         )
 
     good = F.col("bad").isNull()
@@ -74,7 +76,7 @@ def tagged(log: DataFrame, topics: dict[str, str], extra: tuple[str, ...] = ())
     rows = F.concat(
         when(F.col("err").isNotNull(), F.array(entry("error", F.col("err")))),
         when(good & ~is_page, F.array(entry("start", js.built(*[part[n] for n in whole], F.col("rest"))))),
-        when(is_page, F.array(entry("page", js.built(*head, F.col("rest"))))),
+        when(is_page, F.array(entry("page", js.built(head, F.col("rest"))))),
         when(is_page & F.col("actions").isNotNull(), items("actions", "action")),
         when(is_page & F.col("displays").isNotNull(), items("displays", "display")),
         when(~good, F.array(entry("dirty", F.col("bad")))),

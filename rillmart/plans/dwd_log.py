@@ -28,8 +28,12 @@ def patched() -> Column:
     """``common`` with the ``is_new`` found for the visitor in place of the record's own."""
     text = F.col("common")
     changed = (F.col("is_new") == "0") & (F.get_json_object(text, "$.is_new") == "1")
-    rest = js.members(js.without(text, "is_new"))
-    return F.when(changed, js.built(F.lit('"is_new":"0"'), rest)).otherwise(text)
+    claim = r'"is_new"\s*:\s*(?:"1"|1)(?=\s*[,}])'
+    return (
+        F.when(~changed | changed.isNull(), text)
+        .when(js.is_flat(text), F.regexp_replace(text, claim, '"is_new":"0"'))
+        .otherwise(js.extended(F.lit('"is_new":"0"'), js.without(text, "is_new")))
+    )
 
 
 #: fixed values: topics of the five kinds, and the quarantine of unusable records
