@@ -10,6 +10,8 @@ Inputs carry ``dt`` (calendar day as a date) next to their epoch ``ts`` in ms.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rillmart.operators.latest import first_per_key
@@ -17,6 +19,8 @@ from rillmart.operators.skew import salted_join
 from rillmart.settings import DEFAULTS
 
 _DAY_MS = 86_400_000
+#: more than the numbers of records can differ by
+_SPREAD = Decimal(10**20)
 
 
 def repair_new_visitors(
@@ -29,17 +33,18 @@ def repair_new_visitors(
 
     The first record fixes the first visit: its own day when it claims to be new,
     the day before otherwise. A later claim on another day is wrong. Needs flat
-    ``mid, ts, seq, is_new, dt``; only the earliest record per visitor is shuffled
-    to find the first day, and the log itself is joined in salted pieces. Records without
-    a visitor stay as they are.
+    ``mid, ts, seq, is_new, dt``; one row per visitor and task is shuffled to find the
+    first day, and the log itself is joined in salted pieces. Records without a visitor stay
+    as they are; those without a time tell nothing about it.
     """
     claims_new = F.coalesce(F.col("is_new") == "1", F.lit(False))
+    # time, number and claim as one number, so that the least is found by hashing, not sorting
+    number = F.coalesce(F.col(seq), F.lit(-(2**63))).cast("decimal(19,0)")
+    record = (F.col("ts").cast("decimal(19,0)") * _SPREAD + number) * 2 + claims_new.cast("int")
     first = log.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min(F.struct("ts", seq, "dt", claims_new.alias("new"))).alias("first")
-    )
-    first_day = F.when(F.col("first.new"), F.col("first.dt")).otherwise(
-        F.date_sub(F.col("first.dt"), 1)
+        (F.pmod(F.min(record), F.lit(2)) == 1).alias("new"), F.min("dt").alias("day")
     )
+    first_day = F.when(F.col("new"), F.col("day")).otherwise(F.date_sub("day", 1))
     first = first.select(key, first_day.alias("first_day"))
     joined = salted_join(log, first, [key], [seq, "ts"], "left", salts)
     wrong = (F.col("is_new") == "1") & (F.col("first_day") != F.col("dt"))

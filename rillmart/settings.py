@@ -31,6 +31,8 @@ class Settings:
     broadcast_rows: int = 200_000
     #: whether a dimension row whose source row is deleted goes too
     honour_deletes: bool = False
+    #: the dimension store folds its batches every so many of them; None: never
+    compact_every: int | None = 1000
     #: partitions of keyed state, fixed for the life of a checkpoint; None: the cores of a
     #: local session, or STATE_PARTITIONS on a cluster
     state_partitions: int | None = None

@@ -3,7 +3,8 @@
 A micro-batch is reduced to the newest row of each key and written to its own folder,
 ``batch_id=N``; a replay overwrites that folder and nothing else. Readers collapse the
 folders to the newest row per key, so a write costs the size of the batch, not of the
-table. ``compact`` folds old batches into a base from time to time.
+table. ``compact`` folds old batches into a base from time to time, and ``free`` removes
+what a base has made superfluous.
 """
 
 from __future__ import annotations
@@ -90,14 +91,26 @@ def read_latest(
     return newest.where(~F.col(_DELETED)).drop(_DELETED, "batch_id")
 
 
+def _children(spark: SparkSession, pattern: str) -> list:
+    """Paths that match, in whatever store they lie; one entry per batch or base folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    return [f.getPath() for f in found or []]
+
+
+def _number(path) -> int:
+    return int(path.getName().split("=")[1])
+
+
+def _bases(spark: SparkSession, path: str) -> list[int]:
+    """Complete bases, oldest first: a base counts from the marker its writer leaves last."""
+    return sorted(_number(p.getParent()) for p in _children(spark, f"{path}/base/upto=*/_SUCCESS"))
+
+
 def compacted_upto(spark: SparkSession, path: str) -> int | None:
-    """Last batch folded into the newest base, or None without one."""
-    try:
-        bases = spark.read.parquet(f"{path}/base").select(F.col("upto").cast("bigint").alias("u"))
-    except AnalysisException as e:
-        _only_missing(e)
-        return None
-    return bases.agg(F.max("u")).first()[0]
+    """Last batch folded into the newest complete base, or None without one."""
+    found = _bases(spark, path)
+    return found[-1] if found else None
 
 
 def compact(
@@ -107,8 +120,36 @@ def compact(
     keys: list[str],
     version: list[str],
     upto: int,
+    ties: list[str] | None = None,
+    partition_by: list[str] | None = None,
 ) -> None:
-    """Fold batches up to ``upto`` into a new base; readers switch once it is complete."""
+    """Fold batches up to ``upto`` into a new base; readers switch once it is complete.
+
+    Tombstones stay, so that an older version that comes late stays gone. ``version`` may
+    place ``batch_id`` itself; otherwise later batches win among equal versions. Folding the
+    same batches again changes nothing.
+    """
+    if upto in _bases(spark, path):
+        return
     log = read_changelog(spark, path, schema).where(F.col("batch_id") <= upto)
-    newest = latest_per_key(log, keys, [*version, "batch_id"])
-    newest.write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
+    order = version if "batch_id" in version else [*version, "batch_id"]
+    writer = latest_per_key(log, keys, order, ties).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path}/base/upto={upto}")
+
+
+def free(spark: SparkSession, path: str) -> None:
+    """Remove what the last base but one had folded: its batches, and bases before it.
+
+    A reader that began before the newest base was complete still finds all its files. For
+    tables that nobody follows as a stream; a follower may be any number of batches behind.
+    """
+    bases = _bases(spark, path)
+    if len(bases) < 2:
+        return
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    old = [p for p in _children(spark, f"{deltas(path)}/batch_id=*") if _number(p) <= bases[-2]]
+    old += [p for p in _children(spark, f"{path}/base/upto=*") if _number(p) < bases[-2]]
+    for p in old:
+        p.getFileSystem(conf).delete(p, True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillmart.operators import dims, latest
 from rillmart.schemas import BASE_DIC, DIMS
+from rillmart.sinks.dims import SCHEMA, VERSION
 from rillmart.sinks.upsert import read_changelog
 
 
@@ -30,10 +31,9 @@ def base_dic(
 def dimension(spark: SparkSession, path: str, table: str, columns: list[str] | None = None) -> DataFrame:
     """Current rows of one dimension; only that dimension's files are read, and a row whose
     newest version is a tombstone is gone."""
-    rows = read_changelog(spark, path, "sink_table string, pk string, type string, "
-                          "data map<string,string>, ts bigint")
+    rows = read_changelog(spark, path, SCHEMA)
     newest = latest.latest_per_key(
-        rows.where(rows["sink_table"] == table), ["sink_table", "pk"], ["batch_id", "ts"]
+        rows.where(F.col("sink_table") == table), ["sink_table", "pk"], VERSION
     )
     newest = newest.where(~F.coalesce(newest["_deleted"], F.lit(False)))
     return dims.as_table(newest, table, columns or DIMS[table].split())

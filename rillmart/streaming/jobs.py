@@ -166,7 +166,7 @@ def dim_sink_app(w: Warehouse):
     def write(batch: DataFrame, batch_id: int) -> None:
         sink = dim_sink.writer(
             w.table_path("dims"), lambda: w.config(batch.sparkSession), w.config_version,
-            w.settings.honour_deletes,
+            w.settings.honour_deletes, w.settings.compact_every,
         )
         sink(batch.where("bad is null").drop("bad"), batch_id)
         dirty = batch.where("bad is not null")

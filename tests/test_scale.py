@@ -96,6 +96,22 @@ def test_hot_visitor_repair_equals_brute_force(spark):
     assert got == want
 
 
+def test_first_visits_are_found_by_hashing_also_among_ties_and_wide_numbers(spark):
+    day = 86_400_000
+    data = [
+        ("a", T0, -(2**63), "0"), ("a", T0, 2**63 - 1, "1"), ("a", T0 + 1, 0, "1"),
+        ("b", T0, 2**63 - 1, "0"), ("b", T0, -(2**63) + 1, "1"), ("b", T0 + day, 1, "1"),
+        ("c", None, 2, "0"), ("c", T0, 3, "1"), ("d", None, 4, "1"), (None, T0, 5, "1"), ("e", -day, 6, "1"),
+    ]
+    df = spark.createDataFrame(data, "mid string, ts bigint, seq bigint, is_new string").withColumn("dt", tm.day("ts"))
+    out = visitors.repair_new_visitors(df)
+    got = {(r.mid, r.ts, r.seq): r.is_new for r in out.collect()}
+    changed = {(m, t, s): "0" for m, t, s, _ in (data[1], data[2], data[5])}
+    assert got == {(m, t, s): n for m, t, s, n in data} | changed
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_salt_spreads_a_hot_key(spark):
     df = spark.range(8000).select(F.lit("hot").alias("mid"), "id")
     salted = df.groupBy(F.pmod(F.xxhash64("id"), F.lit(8)).alias("s")).count()

@@ -1,5 +1,7 @@
 """Sinks: replays, tombstones, compaction, topics, the dimension store."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from rillmart.schemas import columns
@@ -51,6 +53,31 @@ def test_upsert_tombstones_and_compaction(spark, tmp_path):
     assert log.count() == 3  # two folded rows, one new
 
 
+def test_only_a_complete_base_counts_and_freeing_spares_the_last_step(spark, tmp_path):
+    path = str(tmp_path)
+
+    def folders(kind):
+        return sorted(p.name for p in (tmp_path / kind).glob("*=*"))
+
+    for i in range(6):
+        put(spark, path, i, [("a", i, f"v{i}"), (f"k{i}", 1, "z")])
+    want = rows(table(spark, path), "id", "name")
+    (tmp_path / "base" / "upto=9").mkdir(parents=True)  # a fold that did not end
+    assert upsert.compacted_upto(spark, path) is None
+    upsert.compact(spark, path, SCHEMA, ["id"], ["v"], upto=1)
+    upsert.free(spark, path)
+    assert len(folders("deltas")) == 6  # readers without the base may be at work
+    upsert.compact(spark, path, SCHEMA, ["id"], ["v"], upto=3)
+    upsert.free(spark, path)
+    assert folders("deltas") == [f"batch_id={i}" for i in (2, 3, 4, 5)]
+    assert rows(table(spark, path), "id", "name") == want
+    upsert.compact(spark, path, SCHEMA, ["id"], ["v"], upto=3)  # again: nothing new
+    upsert.compact(spark, path, SCHEMA, ["id"], ["v"], upto=5)
+    upsert.free(spark, path)
+    assert folders("base") == ["upto=3", "upto=5", "upto=9"]
+    assert rows(table(spark, path), "id", "name") == want
+
+
 def test_topics_route_rows_and_survive_null_payloads(spark, tmp_path):
     topics = Topics(root=str(tmp_path / "topics"))
     df = spark.createDataFrame([("a", 1), ("b", 2)], "b string, a int")
@@ -105,6 +132,27 @@ def test_dimension_store(spark, tmp_path):
     assert lookup.dimensions(spark, path)["dim_sku_info"].count() == 0
 
 
+def test_dimension_store_folds_its_batches(spark, tmp_path):
+    path = str(tmp_path)
+    write = dim_store.writer(path, lambda: config(spark), ["ts_ms"], True, compact_every=2)
+    for i in range(6):
+        step = [
+            ("t1", "update", i, {"id": "1", "name": f"n{i}"}, None), ("t2", "insert", i, {"code": f"c{i}", "name": "b"}, None),
+            ("t1", "delete" if i == 1 else "insert", i, {"id": str(min(i, 2) + 10), "name": "x"}, None),
+        ]
+        write(changes(spark, step), i)
+        if i == 4:
+            write(changes(spark, step), i)  # a replay of the batch that folds
+    dim = lookup.dimension(spark, path, "dim_t1", ["id", "name"])
+    assert rows(dim, "id", "name") == [("1", "n5"), ("10", "x"), ("12", "x")]
+    assert rows(lookup.dimension(spark, path, "dim_t2", ["code"]), "code") == [(f"c{i}",) for i in range(6)]
+    plan = dim._jdf.queryExecution().executedPlan().toString()
+    pruned = re.findall(r"PartitionFilters: \[[^\]]*", plan)
+    assert len(pruned) == 2 and all("sink_table" in p for p in pruned)  # batches and base alike
+    kept = sorted(p.name for p in (tmp_path / "deltas").glob("batch_id=*"))
+    assert kept == [f"batch_id={i}" for i in (2, 3, 4, 5)]
+
+
 def test_later_change_of_one_second_wins_and_deletes_can_count(spark, tmp_path):
     same_second = [
         ("t1", "insert", 1, {"id": "1", "name": "old"}, None), ("t1", "update", 1, {"id": "1", "name": "new"}, None),
