@@ -94,7 +94,7 @@ def shuffled(docs: DataFrame, seed: int, buckets: int) -> DataFrame:
             yield from whole()
 
     return (
-        rows.repartition(max(1, buckets), "_bucket")
+        rows.repartitionById(max(1, buckets), "_bucket")
         .sortWithinPartitions("_bucket", "_h", *[c for c in ("doc_id", "text") if c in docs.columns])
         .mapInArrow(each, schema)
     )
