@@ -23,8 +23,9 @@ BLOCK_WORDS = 1024
 MAX_REPEATS = 3
 #: sources the mix may have; their totals are the only thing the driver sees
 MAX_SOURCES = 1000
-#: hex digits of the order key that name a range of a stream: 4,096 ranges
-RANGE_DIGITS = 3
+#: hex digits of the order key that name a range of a stream: 4,096 ranges, and more where
+#: ranges would otherwise hold more than RANGE_DOCS documents on average
+RANGE_DIGITS, RANGE_DOCS = 3, 100_000
 #: slots ranked together
 SLOT_RANGE = 4096
 #: the golden ratio as an odd step modulo 2**31
@@ -85,7 +86,22 @@ def sized(docs: DataFrame, seed: int, payload: Column | None = None) -> DataFram
         "doc_id", "source", word_count(text).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"),
         F.md5(F.coalesce(text, F.lit(""))).alias("text_md5"), *extra,
-    ).withColumn("range", F.substring("h", 1, RANGE_DIGITS))
+    )
+
+
+def range_digits(docs: int) -> int:
+    """Digits that name the ranges of streams of so many documents.
+
+    Ranges are runs of the order key, so their number changes no document's place.
+    """
+    digits = RANGE_DIGITS
+    while docs > RANGE_DOCS * 16**digits:
+        digits += 1
+    return digits
+
+
+def ranged(rows: DataFrame, digits: int) -> DataFrame:
+    return rows.withColumn("range", F.substring("h", 1, digits))
 
 
 def _share_table(spark: SparkSession, of: list[Share]) -> DataFrame:
@@ -115,7 +131,7 @@ def placed(rows: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def range_starts(rows: DataFrame) -> DataFrame:
-    """Where each range begins in its stream: at most 4,096 rows a source."""
+    """Where each range begins in its stream: one row per range and source."""
     sums = rows.groupBy("src", "range").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("src").orderBy("range")
     return sums.select("src", "range", (F.sum("n").over(before) - F.col("n")).alias("start"))
@@ -197,15 +213,17 @@ def pieces(rows: DataFrame, slots: DataFrame, block: int = BLOCK_WORDS) -> DataF
 
 
 def _plan(docs: DataFrame, seed: int, weights: list[float], block: int):
-    """Placed documents (narrow), and the words each gives, by (src, range, row)."""
+    """The words each placed document gives, by (src, range, row); the shares; digits of a range."""
     spark = docs.sparkSession
     narrow = materialize(sized(docs, seed))
+    digits = range_digits(narrow.count())
+    narrow = ranged(narrow, digits)
     of = shares(narrow, weights)
     table = _share_table(spark, of)
     known = narrow.join(table, narrow["source"].eqNullSafe(table["source"]), "left").drop(table["source"])
     starts = range_starts(known)
     rows = placed(known, starts)
-    return pieces(rows, schedule(spark, of, block), block), table, starts
+    return pieces(rows, schedule(spark, of, block), block), table, digits
 
 
 def mix(
@@ -239,14 +257,14 @@ def mixed_documents(docs: DataFrame, seed: int = 7, weights: list[float] = [1.0,
     within a document, whose text is then cut behind the last word taken. Documents that give
     no word are not in the mix. ``n_chars``, if it is a column, follows the text.
     """
-    found, table, starts = _plan(docs, seed, weights, block)
+    found, table, digits = _plan(docs, seed, weights, block)
     passes = (
         found.where("slot is not null")
         .groupBy("src", "range", "row", "epoch", "size")
         .agg(F.max("last").alias("upto"))
     )
     names = docs.columns
-    whole = sized(docs, seed, F.struct(*[F.col(f"`{c}`") for c in names]))
+    whole = ranged(sized(docs, seed, F.struct(*[F.col(f"`{c}`") for c in names])), digits)
     known = whole.join(table, whole["source"].eqNullSafe(table["source"]), "left").select(
         "src", "range", "h", "doc_id", "size", "text_md5", "payload"
     )

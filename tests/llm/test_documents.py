@@ -256,6 +256,15 @@ def test_mixing_odd_rows(odd, empty):
     assert mixing.taken(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_ranges_change_no_place(llm, sf, monkeypatch):
+    docs = table(llm, sf, "documents")
+    few = sorted(map(tuple, mixing.taken(docs, block=64).collect()), key=repr)
+    monkeypatch.setattr(mixing, "RANGE_DIGITS", 1)
+    monkeypatch.setattr(mixing, "RANGE_DOCS", 2)
+    assert [mixing.range_digits(n) for n in (0, 32, 33, 512, 513)] == [1, 1, 2, 2, 3]
+    assert sorted(map(tuple, mixing.taken(docs, block=64).collect()), key=repr) == few
+
+
 def test_mixed_documents_hold_the_words_taken(llm, sf):
     docs = table(llm, sf, "documents")
     taken = {r["doc_id"]: r["taken"] for r in mixing.taken(docs, block=64).collect()}
@@ -299,6 +308,12 @@ def test_shards_of_many_buckets(llm, sf, monkeypatch):
     assert sorted(map(tuple, sharding.sharded(docs, seed=12).collect()), key=repr) != sorted(map(tuple, rows), key=repr)
 
 
+def test_a_task_holds_one_bucket(llm, sf):
+    docs = table(llm, sf, "documents").select("doc_id", "text")
+    rows = sharding.shuffled(docs, 5, 9).selectExpr("_bucket", "spark_partition_id() as task").distinct().collect()
+    assert sorted(map(tuple, rows)) == [(i, i) for i in range(9)]
+
+
 def test_a_hot_record_is_dealt_out_copy_by_copy(llm, monkeypatch):
     monkeypatch.setattr(sharding, "HOT_COPIES", 10)
     docs = llm.createDataFrame([(1, "same")] * 300 + [(i, f"t{i}") for i in range(2, 100)], "doc_id long, text string")
