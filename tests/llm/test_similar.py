@@ -1,0 +1,86 @@
+"""Near duplicates by similarity against brute force."""
+
+import itertools
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from rillmart.llm import similar
+from rillmart.sources.tables import table
+
+
+def brute_kept(docs):
+    """docs: list of (id, text); ids that stay when all pairs are compared."""
+    sets = []
+    for _, t in docs:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    parent = list(range(len(docs)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(docs)), 2):
+        a, b = sets[i], sets[j]
+        if a == b or len(a & b) >= 0.8 * len(a | b):
+            parent[max(root(i), root(j))] = min(root(i), root(j))
+    best = {}
+    for i, (doc, _) in enumerate(docs):
+        best.setdefault(root(i), []).append(doc)
+    return sorted(min(ids) for ids in best.values())
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"x{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def planted():
+    rng = random.Random(4)
+    docs = []
+    for k in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(120, 400))]
+        docs.append((10 * k, " ".join(words)))
+        docs += [(10 * k + i, edited(rng, words, n)) for i, n in enumerate((1, len(words) // 60, len(words) // 50, len(words) // 20), 1)]
+    return docs
+
+
+def test_pipeline_stage_drops_texts_of_similarity_above_the_bound_and_no_others(llm, planted):
+    import corpus_pipeline
+
+    docs = llm.createDataFrame(planted, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(llm, docs, "").collect())
+    assert kept == brute_kept(planted)
+
+
+@pytest.mark.parametrize("block", [1024, 8])
+def test_a_large_group_of_copies(llm, monkeypatch, block):
+    monkeypatch.setattr(similar, "BLOCK", block)
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, edited(rng, words, rng.randint(0, 3))) for i in range(120)] + [(500, "a b"), (501, "A  b"), (502, None), (503, "")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in similar.deduplicated(docs).collect()) == brute_kept(rows)
+
+
+def test_real_and_odd_texts(llm, sf, odd, empty):
+    docs = table(llm, sf, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    out = similar.deduplicated(docs)
+    assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == brute_kept(rows)
+    kept = similar.deduplicated(odd)
+    assert kept.columns == odd.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 4, 5, 8, 9] + [None])
+    assert similar.deduplicated(empty).count() == 0
+
+
+def test_forest_joins_what_is_near():
+    near = np.array([0, 1, 3, -1, -2], np.int64)
+    assert sorted(similar.tree(near, np.arange(5))) == [(0, 1), (1, 2), (3, 4)]
+    assert similar.tree(near, np.array([0, 0, 0, 3, 3])) == []
