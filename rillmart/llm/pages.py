@@ -12,6 +12,7 @@ unless the two pages share all of them (copies say nothing about templates).
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -19,9 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rillmart.llm.urls import host_of, path_of
-from rillmart.operators.enrich import checked_broadcast
 
-#: pages of a host that are sorted together; a larger host is dealt out by path
+#: pages of a host that are sorted together; a larger host is cut into ranges of about as many
 GROUP_PAGES = 2000
 CHROME, NEUTRAL, ARTICLE = "c", "n", "a"
 
@@ -193,12 +193,14 @@ def main_lines(page: list[tuple[str, str]], partner: list[str] | None) -> list[s
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by group and path; each is aligned with the one before it, a group's first
-    with the one behind it. Three pages are held."""
+    with the one behind it. A lent page is aligned with, but not put out. Three pages are held."""
     held: tuple | None = None  # (group, page_id, url, page) whose partner may come next
     before: list[str] | None = None
     out: list[tuple] = []
 
     def done(row: tuple, partner: list[str] | None) -> None:
+        if row[4]:
+            return
         text = "\n\n".join(main_lines(row[3], partner))
         out.append((row[1], row[2], text, len(text)))
 
@@ -208,10 +210,10 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["page_id", "url", "text", "n_chars"])
 
     for b in batches:
-        for host, salt, page_id, url, texts, zones in zip(
-            *(b.column(n).to_pylist() for n in ("host", "salt", "page_id", "url", "texts", "zones"))
+        for host, salt, page_id, url, texts, zones, lent in zip(
+            *(b.column(n).to_pylist() for n in ("host", "salt", "page_id", "url", "texts", "zones", "lent"))
         ):
-            row = ((host, salt), page_id, url, list(zip(texts, zones)))
+            row = ((host, salt), page_id, url, list(zip(texts, zones)), lent)
             if held is not None:
                 same = held[0] == row[0]
                 done(held, before if before is not None else (texts if same else None))
@@ -224,17 +226,84 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch()
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        pages = [lines(h) for h in b.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                *(b.column(n) for n in ("page_id", "url", "host", "path")),
-                pa.array([[t for t, _ in p] for p in pages], pa.list_(pa.string())),
-                pa.array(["".join(z for _, z in p) for p in pages], pa.string()),
-            ],
-            ["page_id", "url", "host", "path", "texts", "zones"],
-        )
+def _key(path: str | None, page_id: int | None) -> tuple:
+    return (path is not None, path or "", page_id is not None, page_id or 0)
+
+
+def _ranges(rows: DataFrame) -> tuple[dict, dict]:
+    """Of every host above GROUP_PAGES: the sorted keys that begin its ranges but the first, and
+    for each range the greatest (path, page_id, url) in it.
+
+    One row in about GROUP_PAGES begins a range, chosen by hash, so no host is sorted for it.
+    The first range has two pages at least: its first page is aligned with the one behind it.
+    """
+    large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_PAGES).select("host")
+    chosen = rows.where(F.pmod(F.xxhash64("path", "page_id"), F.lit(GROUP_PAGES)) == 0).select("host", "path", "page_id").distinct()
+    begins: dict = {}
+    for host, path, page_id in chosen.join(large, "host", "left_semi").collect():
+        begins.setdefault(host, []).append(_key(path, page_id))
+    if not begins:
+        return {}, {}
+    for keys in begins.values():
+        keys.sort()
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            salts = [
+                bisect_right(begins[h], _key(p, i)) if h in begins else -1
+                for h, p, i in zip(*(b.column(n).to_pylist() for n in ("host", "path", "page_id")))
+            ]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(salts, pa.int64())], [*b.schema.names, "salt"])
+
+    narrow = rows.select("host", "path", "page_id", "url")
+    ends = (
+        narrow.mapInArrow(each, narrow.withColumn("salt", F.lit(0).cast("long")).schema)
+        .where("salt >= 0").groupBy("host", "salt")
+        .agg(F.max(F.struct("path", "page_id", "url")).alias("last"), F.count(F.lit(1)).alias("n"))
+    )
+    found: dict = {}
+    for host, salt, last, n in ends.collect():
+        found.setdefault(host, {})[salt] = (tuple(last), n)
+    lasts = {}
+    for host, keys in begins.items():
+        pages = found[host].get(0, (None, 0))[1]
+        while pages < 2 and keys:
+            del keys[0]
+            found[host] = {0: (None, 0)} | {k - 1: v for k, v in found[host].items() if k}
+            pages += found[host][0][1]
+        lasts[host] = {k: v[0] for k, v in found[host].items()}
+    return begins, lasts
+
+
+def _reader(begins: dict, lasts: dict):
+    """Rows with their lines and range; the last page of a range is lent to the next one."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, salts, lent = [], [], []
+            for i, (host, path, page_id, url) in enumerate(
+                zip(*(b.column(n).to_pylist() for n in ("host", "path", "page_id", "url")))
+            ):
+                keys = begins.get(host, ())
+                salt = bisect_right(keys, _key(path, page_id))
+                again = salt < len(keys) and lasts[host][salt] == (path, page_id, url)
+                for more in range(1 + again):
+                    at.append(i)
+                    salts.append(salt + more)
+                    lent.append(bool(more))
+            pages = [lines(h) for h in b.column("html").to_pylist()]
+            taken = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(b.column(n).take(taken) for n in ("page_id", "url", "host", "path")),
+                    pa.array([[t for t, _ in pages[i]] for i in at], pa.list_(pa.string())),
+                    pa.array(["".join(z for _, z in pages[i]) for i in at], pa.string()),
+                    pa.array(salts, pa.int64()), pa.array(lent, pa.bool_()),
+                ],
+                ["page_id", "url", "host", "path", "texts", "zones", "salt", "lent"],
+            )
+
+    return read
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -242,26 +311,20 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     A null or empty html gives an empty text; pages whose URL is null or has no ``://`` are
     one host. Repeated rows come out repeated; other columns are not read. A host with more
-    than GROUP_PAGES pages is dealt into groups by its paths' hash, so the pages of no host
-    are sorted in one task; neighbours are then near, not always nearest.
+    than GROUP_PAGES pages is cut into ranges of its path order, so the pages of no host are
+    sorted in one task; each range is handed the page before it, so every page meets its
+    neighbour at any size.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", "html",
         host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
     )
-    large = checked_broadcast(
-        rows.groupBy("host")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > GROUP_PAGES)
-        .select("host", F.ceil(F.col("n") / GROUP_PAGES).alias("groups"))
-    )
-    read = rows.mapInArrow(
-        _read, "page_id long, url string, host string, path string, texts array<string>, zones string"
-    )
     return (
-        read.join(large, "host", "left")
-        .withColumn("salt", F.pmod(F.xxhash64("path", "page_id"), F.coalesce("groups", F.lit(1))))
-        .select("host", "salt", "path", "page_id", "url", "texts", "zones")
+        rows.mapInArrow(
+            _reader(*_ranges(rows.drop("html"))),
+            "page_id long, url string, host string, path string, texts array<string>, zones string, salt long, lent boolean",
+        )
+        .select("host", "salt", "path", "page_id", "url", "texts", "zones", "lent")
         .repartition("host", "salt")
         .sortWithinPartitions("host", "salt", "path", "page_id", "url", "zones")
         .mapInArrow(_difference, "page_id long, url string, text string, n_chars long")
