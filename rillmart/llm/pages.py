@@ -234,11 +234,12 @@ def _ranges(rows: DataFrame) -> tuple[dict, dict]:
     """Of every host above GROUP_PAGES: the sorted keys that begin its ranges but the first, and
     for each range the greatest (path, page_id, url) in it.
 
-    One row in about GROUP_PAGES begins a range, chosen by hash, so no host is sorted for it.
+    Rows are sampled by hash, four for each GROUP_PAGES, and every fourth begins a range, so no
+    host is sorted for it.
     The first range has two pages at least: its first page is aligned with the one behind it.
     """
     large = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_PAGES).select("host")
-    chosen = rows.where(F.pmod(F.xxhash64("path", "page_id"), F.lit(GROUP_PAGES)) == 0).select("host", "path", "page_id").distinct()
+    chosen = rows.where(F.pmod(F.xxhash64("path", "page_id"), F.lit(max(1, GROUP_PAGES // 4))) == 0).select("host", "path", "page_id").distinct()
     begins: dict = {}
     for host, path, page_id in chosen.join(large, "host", "left_semi").collect():
         begins.setdefault(host, []).append(_key(path, page_id))
@@ -246,6 +247,7 @@ def _ranges(rows: DataFrame) -> tuple[dict, dict]:
         return {}, {}
     for keys in begins.values():
         keys.sort()
+        keys[:] = keys[3::4]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
