@@ -6,13 +6,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from rillmart.catalog import QUERIES
 from rillmart.functions import time as tm
 from rillmart.operators import enrich, joins, latest, visitors
 from rillmart.plans import dwd_db
 from rillmart.sources import tables as t
 
-BATCH = sorted(n for n in queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 T0 = 1_704_067_200_000
 
 
@@ -32,7 +32,7 @@ def no_broadcast(spark):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_query_gathers_or_crosses(spark, sf, name, no_broadcast):
-    text = plan(queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "EvalPython"):
         assert bad not in text, bad
 
@@ -42,34 +42,34 @@ def exchanges(text: str) -> list[str]:
 
 
 def test_first_records_are_limited_before_the_shuffle(spark, sf):
-    text = plan(queries()["unique_visitors"](spark, sf))
+    text = plan(QUERIES["unique_visitors"](spark, sf))
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
     assert text.count("WindowGroupLimit") == 2
 
 
 def test_histories_are_cut_by_time_and_salt(spark, sf, no_broadcast):
-    assert [e.rsplit(",", 1)[0] for e in exchanges(plan(queries()["user_jump"](spark, sf)))] == [
+    assert [e.rsplit(",", 1)[0] for e in exchanges(plan(QUERIES["user_jump"](spark, sf)))] == [
         "mid, _bucket"
     ]
-    repair = [e.rsplit(",", 1)[0] for e in exchanges(plan(queries()["new_visitor_fix"](spark, sf)))]
+    repair = [e.rsplit(",", 1)[0] for e in exchanges(plan(QUERIES["new_visitor_fix"](spark, sf)))]
     assert sorted(repair) == ["mid", "mid, _salt", "mid, _salt"]
 
 
 def test_scans_read_only_what_is_used(spark, sf):
     def read(name, table):
-        text = plan(queries()[name](spark, sf))
+        text = plan(QUERIES[name](spark, sf))
         found = re.findall(r"ReadSchema: struct<([^>]*)>", text)
         return {c.split(":")[0] for s in found for c in s.split(",") if c.startswith(table)}
 
     assert read("dim_left", "o_") == {"o_orderkey", "o_custkey"}
     assert read("dws_order_users", "l_") == {"l_orderkey", "l_linenumber", "l_shipdate"}
     assert read("keyword_tokens", "t") == {"text"}
-    text = plan(queries()["dim_filter"](spark, sf))
+    text = plan(QUERIES["dim_filter"](spark, sf))
     assert "EqualTo(p_brand,Brand#2)" in text and "EqualTo(p_type,ECONOMY)" in text
 
 
 def test_dictionaries_are_broadcast_after_measuring(spark, sf, no_broadcast):
-    assert "BroadcastHashJoin" in plan(queries()["lookup_inner"](spark, sf))
+    assert "BroadcastHashJoin" in plan(QUERIES["lookup_inner"](spark, sf))
 
 
 # -- hot keys ----------------------------------------------------------------------
