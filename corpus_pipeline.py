@@ -10,7 +10,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillmart.llm import bpe, mixing, pii, quality, similar
+from rillmart.llm import bpe, mixing, pii, quality, simhash
 from rillmart.llm.common import ready
 from rillmart.llm.queries import VOCABULARY
 from rillmart.session import shared_dir
@@ -24,9 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts stays."""
+    """One document of each component of fingerprints stays, the one with the smallest doc_id."""
     ready(spark)
-    return similar.deduplicated(docs)
+    return simhash.deduplicated(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
