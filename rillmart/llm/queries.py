@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillmart.llm import bpe, chat, mixing, pages, pii, quality, sharding, simhash, topk, urls
+from rillmart.llm import bpe, chat, codes, mixing, pages, pii, quality, resample, sharding, simhash, suffixes, topk, urls
 from rillmart.llm.common import ready
 from rillmart.sources.tables import table
 
@@ -91,6 +91,21 @@ def op10_url_filter(spark, sf):
     return urls.judge(table(spark, sf, "pages"), urls.rule_table(spark, URL_RULES))
 
 
+@query
+def op11_hilbert_codes(spark, sf):
+    return codes.compressed(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_suffix_dedup(spark, sf):
+    return suffixes.deduplicated(table(spark, sf, "documents"))
+
+
+@query
+def op13_importance_resampling(spark, sf):
+    return resample.resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def oracle_sql() -> dict[str, str]:
     from rillmart.llm.sql import ORACLES
 
