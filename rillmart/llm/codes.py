@@ -289,7 +289,7 @@ def compressed(vectors: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     of all; vectors of another length are dropped, and one that four does not divide is filled
     with zeros. Components saturate at 2**26 (65,536 before scaling). Fewer vectors than
     entries give shorter codebooks. Rows of one vec_id are vectors of their own, ordered by
-    their components; a null vec_id comes last. Labels of null are one group. No vectors, no
+    their integer components; a null vec_id comes last. Labels of null are one group. No vectors, no
     rows. Columns other than vec_id, embedding and label are not read.
     """
     rows = kept(vectors)

@@ -183,7 +183,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 key = xxhash.xxh3_128_digest(data[a:b + SPAN - 1])
                 spot = (doc, row, a, b)
                 held = first.setdefault(key, spot)
-                if held is spot:
+                if held == spot:  # new, or the same place in an equal row
                     continue
                 if spot < held:
                     first[key] = spot
@@ -370,10 +370,11 @@ def repeats(runs: list[bytes]) -> np.ndarray:
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spots of repeats, and of strings that are first in a piece but maybe not in all.
 
-    Items come sorted by anchor and document; a piece ends between anchors if it can.
+    Items come sorted by anchor, part and document; a piece ends between anchors if it can, and
+    holds no two parts of one anchor, whose documents are not in order.
     """
     held: list[tuple] = []
-    cut = None
+    cut: set[tuple] = set()
 
     def flush() -> list[tuple]:
         out = []
@@ -385,7 +386,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += n
             edges = np.flatnonzero(np.diff(np.concatenate(([0], mine.astype(np.int8), [0]))))
             out += [(row, a + int(x), doc, row, a + int(x), a + int(y), True) for x, y in edges.reshape(-1, 2)]
-            if part > 0 or (h, part) == cut:
+            if part > 0 or (h, part) in cut:
                 for x in np.flatnonzero(~mine).tolist():
                     out.append((*_signed(xxhash.xxh3_128_digest(data[x:x + SPAN])), doc, row, a + x, a + x + 1, False))
         held.clear()
@@ -400,10 +401,12 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if held and held[-1][:5] == item[:5]:
                 continue  # the same strings of an equal row
-            if len(held) >= PIECE:
-                if held[-1][:2] == item[:2]:
-                    cut = item[:2]
+            last = held[-1][:2] if held else None
+            if len(held) >= PIECE or last and last[0] == h and last[1] != part:
+                goes_on = {last} if last == (h, part) else set()
+                cut |= goes_on
                 out += flush()
+                cut = goes_on
             held.append(item)
         yield _columns(out, _SPOTS, _SPOT_TYPES)
     yield _columns(flush(), _SPOTS, _SPOT_TYPES)

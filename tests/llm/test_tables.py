@@ -10,6 +10,7 @@ from hypothesis import given, settings, strategies as st
 from compare import differences, duck
 from rillmart.llm import chat, pages, queries, topk, urls
 from rillmart.sources.tables import table
+from test_documents import brute_components, brute_fingerprint
 
 SF = "/root/testdata/sf0.001"
 
@@ -150,6 +151,17 @@ def test_rules_and_precedence(llm):
 # -- the pipeline ------------------------------------------------------------------
 
 
+def test_near_duplicate_stage_keeps_one_text_of_each_component(llm, odd, empty):
+    import corpus_pipeline
+
+    for docs in (table(llm, SF, "documents"), odd, empty):
+        found = [(r["doc_id"], brute_fingerprint(r["text"])) for r in docs.collect()]
+        out = corpus_pipeline.near_duplicates(llm, docs, SF)
+        assert out.columns == docs.columns
+        want = Counter({c for _, _, c in brute_components(found)})
+        assert Counter(r["doc_id"] for r in out.collect()) == want
+
+
 def test_pipeline_stages(llm):
     import corpus_pipeline
 
