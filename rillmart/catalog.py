@@ -15,7 +15,7 @@ from rillmart import codes
 from rillmart.functions import time as tm
 from rillmart.functions.money import MONEY, amount, amount_or_zero, original_amount
 from rillmart.operators import changes as ch
-from rillmart.operators import dims, enrich, joins, keywords, latest, parse, sequence, split
+from rillmart.operators import asof, dims, enrich, joins, keywords, latest, parse, sequence, split
 from rillmart.operators import visitors, windows
 from rillmart.plans import dim as dim_plan
 from rillmart.plans import dwd_db, dwd_log, dws
@@ -286,6 +286,14 @@ def lookup_twice(spark, sf):
     return enrich.lookup(named, dic, "refund_reason_type", "reason_name")
 
 
+@query
+def lookup_as_of(spark, sf):
+    """Cart records named as the dictionary stood at their second."""
+    history = asof.dictionary_history(t.dic_changes(spark, sf), ties=["seq"])
+    carts = t.change_log(spark, sf, "cart_info")
+    return dwd_db.trade_cart_add(carts, history).select("id", "user_id", "sku_num", "dic_name", "ts")
+
+
 @query
 def config_join(spark, sf):
     rows = dim_plan.dim_sink(t.dim_changes(spark, sf), t.config_changes(spark), ["ts_ms"])

@@ -354,6 +354,18 @@ SQL = {
                o.order_status, o.ts AS oi_ts
         FROM details d JOIN order_changes o ON o.order_id = d.order_id
         WHERE abs(d.od_ts - o.ts) <= 30 * 86400""",
+    "lookup_as_of": """
+        WITH versions AS (
+            SELECT dic_code, dic_name, CAST(0 AS BIGINT) AS since, CAST(-1 AS BIGINT) AS seq FROM dic
+            UNION ALL
+            SELECT CAST(user_id % 5 + 1 AS VARCHAR), CASE WHEN event_id % 70 <> 0 THEN 'name-' || CAST(event_id AS VARCHAR) END,
+                   (epoch_us(ts) // 1000) // 1000, event_id
+            FROM events WHERE event_id % 10 = 0),
+        single AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY dic_code, since ORDER BY seq DESC) = 1)
+        SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, CAST(added AS VARCHAR) AS sku_num,
+               v.dic_name, ts
+        FROM cart ASOF JOIN single v ON cart.source_code = v.dic_code AND cart.ts >= v.since
+        WHERE v.dic_name IS NOT NULL""",
     "lookup_inner": """
         SELECT CAST(e.event_id AS VARCHAR) AS id, dic_code AS source_type, dic_name
         FROM events e JOIN dic ON dic_code = CAST(e.event_id % 5 + 1 AS VARCHAR)""",

@@ -7,28 +7,31 @@ epoch second. Arrival-time columns (``pt``, ``row_op_ts``) are added by the sink
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rillmart import codes
 from rillmart.functions import time as tm
 from rillmart.functions.money import original_amount
+from rillmart.operators.asof import is_history, lookup_as_of
 from rillmart.operators.changes import added, field, fields, moved_to, of_table
 from rillmart.operators.enrich import lookup
 from rillmart.operators.joins import interval_join
 
 
-def name_code(df: DataFrame, dic: DataFrame | None, code: str, name: str | None = None) -> DataFrame:
+def name_code(
+    df: DataFrame, dic: DataFrame | None, code: str, name: str | None = None, at: str | Column = "ts"
+) -> DataFrame:
     """Add a code's name as ``name``, or put it in the code's place without one.
 
     Without a dictionary the codes stay: a stream that must see the dictionary of the
-    moment names them batch by batch, after its joins.
+    moment names them batch by batch, after its joins. A dictionary with its history
+    (``asof.dictionary_history``) names a fact as of its epoch second ``at``.
     """
     if dic is None:
         return df
-    if name:
-        return lookup(df, dic, code, name)
-    named = lookup(df, dic, code, "_name").drop(code)
-    return named.withColumnRenamed("_name", code)
+    out = name or "_name"
+    named = lookup_as_of(df, dic, code, out, at) if is_history(dic) else lookup(df, dic, code, out)
+    return named if name else named.drop(code).withColumnRenamed("_name", code)
 
 
 def _stamped(df: DataFrame, delay: str | None, ts: str = "ts") -> DataFrame:
@@ -43,7 +46,7 @@ def interaction_comment(changes: DataFrame, dic: DataFrame) -> DataFrame:
         *fields("id", "user_id", "sku_id", "order_id", "create_time", appraise_code="appraise"),
         "ts",
     )
-    return lookup(comments, dic, "appraise_code", "appraise_name")
+    return name_code(comments, dic, "appraise_code", "appraise_name")
 
 
 def interaction_favor_add(changes: DataFrame) -> DataFrame:
@@ -90,7 +93,7 @@ def trade_cart_add(changes: DataFrame, dic: DataFrame) -> DataFrame:
         ),
         "ts",
     )
-    return lookup(rows, dic, "source_type", "dic_name").drop("source_type")
+    return name_code(rows, dic, "source_type", "dic_name").drop("source_type")
 
 
 # -- orders ------------------------------------------------------------------------
@@ -150,7 +153,7 @@ def trade_order_pre_process(
     detail has at most one promotion of each kind, so rows stay the same. A reader that
     keeps few orders asks for ``orders_first``: promotions then meet those lines only.
     """
-    details = name_code(order_details(changes), dic, "source_type")
+    details = name_code(order_details(changes), dic, "source_type", at="od_ts")
     orders = order_changes(changes)
     if span:
         details = _stamped(details, delay, "od_ts")

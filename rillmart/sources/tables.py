@@ -509,6 +509,24 @@ def base_dic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dic_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records of the dictionary: its first state, then a rename by every tenth event,
+    each seventh of which deletes the code instead."""
+    known = base_dic(spark, sf_dir).select(
+        F.lit("insert").alias("type"), F.lit(0).cast("bigint").alias("ts"), F.lit(-1).cast("bigint").alias("seq"),
+        "dic_code", "dic_name",
+    )
+    renamed = table(spark, sf_dir, "events").where(_mod("event_id", 10) == 0).select(
+        F.when(_mod("event_id", 70) == 0, F.lit("delete")).otherwise(F.lit("update")).alias("type"),
+        F.unix_seconds(_ts("ts")).alias("ts"), F.col("event_id").cast("bigint").alias("seq"),
+        _s(_mod("user_id", 5) + 1).alias("dic_code"), F.concat(F.lit("name-"), _s("event_id")).alias("dic_name"),
+    )
+    rows = known.unionByName(renamed)
+    return rows.select(
+        F.lit("base_dic").alias("table"), "type", "ts", "seq", F.struct("dic_code", "dic_name").alias("data")
+    )
+
+
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Dimension tables; nation 24 and 'Brand#1' are left out, so that some miss."""
 

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillmart.functions import time as tm
 from rillmart.operators import split, visitors
+from rillmart.operators.asof import is_history
 from rillmart.operators.enrich import checked_broadcast
 from rillmart.operators.parse import parse_changes, parse_changes_whole, parse_json, parse_log_text
 from rillmart.plans import dwd_db, dwd_log, dws
@@ -45,7 +46,9 @@ class Warehouse:
     """Everything the jobs share.
 
     ``dic`` and ``config`` are called once per micro-batch with the batch's session and
-    return the dictionary and the change feed of the dimension configuration.
+    return the dictionary and the change feed of the dimension configuration. A dictionary
+    with its history (``asof.dictionary_history``) names facts as of their own second, so a
+    replayed batch gets the names it got first; one without gives the names of the moment.
     """
 
     spark: SparkSession
@@ -98,7 +101,9 @@ class Warehouse:
         )
 
     def dictionary(self, batch: DataFrame) -> DataFrame:
-        return checked_broadcast(self.dic(batch.sparkSession))
+        """The dictionary, or its history, which is cut to a batch before it is measured."""
+        dic = self.dic(batch.sparkSession)
+        return dic if is_history(dic) else checked_broadcast(dic)
 
     def dims(self, batch: DataFrame) -> dict[str, DataFrame]:
         return lookup.dimensions(batch.sparkSession, self.table_path("dims"))
@@ -244,7 +249,7 @@ def dwd_trade_order_pre_process(w: Warehouse):
     wide = dwd_db.trade_order_revisions(w.changes(), w.settings.order_retention, w.settings.delay)
 
     def make(batch: DataFrame) -> DataFrame:
-        return dwd_db.name_code(batch, w.dictionary(batch), "source_type")
+        return dwd_db.name_code(batch, w.dictionary(batch), "source_type", at="od_ts")
 
     return wide, w.to_table("dwd_trade_order_pre_process", make, collapse=False)
 
@@ -273,7 +278,8 @@ def dwd_trade_pay_detail_suc(w: Warehouse):
     )
 
     def make(batch: DataFrame) -> DataFrame:
-        return dwd_db.name_code(batch, w.dictionary(batch), "payment_type")
+        paid_at = F.unix_seconds(tm.parse_full("pay_time"))
+        return dwd_db.name_code(batch, w.dictionary(batch), "payment_type", at=paid_at)
 
     return paid, w.to_table("dwd_trade_pay_detail_suc", make)
 
