@@ -748,3 +748,18 @@ def stream_order_wide(spark, sf):
                            "activity_id", "coupon_id")
 
     return run.drain(spark, build, "stream_order_wide")
+
+
+@query
+def stream_order_revisions(spark, sf):
+    """Order rows at once, revised by promotions: the newest revision of each."""
+
+    def build(session):
+        orders = t.stream_table(session, sf, "orders")
+        parts = [t.order_info(orders), *t.promotions_of_orders(orders)]
+        parts.append(t.order_detail(t.stream_table(session, sf, "lineitem")))
+        return stateful.order_revisions(t.as_topic(*parts), "30 days", "1 day")
+
+    rows = run.drain(spark, build, "stream_order_revisions")
+    newest = [F.max(c).alias(c) for c in ("activity_id", "coupon_id")]
+    return rows.groupBy("id", "order_id", "order_status", "source_type", "od_ts", "oi_ts").agg(*newest)

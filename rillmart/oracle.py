@@ -617,6 +617,18 @@ SQL |= {
     "stream_dedup_latest": """
         SELECT CAST(sku_id AS VARCHAR) AS sku_id, max(od_ts) AS od_ts FROM details GROUP BY sku_id
         HAVING min(od_ts) + 5 <= (SELECT max(od_ts) FROM details) - 2""",
+    "stream_order_revisions": """
+        WITH a AS (SELECT o_orderkey * 10 + 1 AS detail_id, CAST(o_orderkey % 7 AS VARCHAR) AS activity_id,
+                     epoch_us(o_orderdate) // 1000000 AS ts FROM orders WHERE o_orderkey % 2 = 0),
+        c AS (SELECT o_orderkey * 10 + 1 AS detail_id, CAST(o_orderkey % 11 AS VARCHAR) AS coupon_id,
+                     epoch_us(o_orderdate) // 1000000 AS ts FROM orders WHERE o_orderkey % 3 = 0)
+        SELECT CAST(d.detail_id AS VARCHAR) AS id, CAST(d.order_id AS VARCHAR) AS order_id, o.order_status,
+               CAST(d.source_code AS VARCHAR) AS source_type, d.od_ts, o.ts AS oi_ts,
+               max(a.activity_id) AS activity_id, max(c.coupon_id) AS coupon_id
+        FROM details d JOIN order_changes o ON o.order_id = d.order_id AND abs(o.ts - d.od_ts) <= 30 * 86400
+        LEFT JOIN a ON a.detail_id = d.detail_id AND abs(a.ts - d.od_ts) <= 30 * 86400
+        LEFT JOIN c ON c.detail_id = d.detail_id AND abs(c.ts - d.od_ts) <= 30 * 86400
+        GROUP BY ALL""",
     "stream_order_wide": """
         WITH d AS (
             SELECT details.*, dic_name FROM details JOIN dic ON dic_code = CAST(source_code AS VARCHAR)),

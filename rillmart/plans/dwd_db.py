@@ -179,23 +179,6 @@ def trade_order_pre_process(
     return with_order(with_promotions(details)).drop("rt")
 
 
-PROMOTIONS = ("activity_id", "activity_rule_id", "coupon_id", "coupon_use_id")
-
-
-def trade_order_revisions(changes: DataFrame, span: str, delay: str) -> DataFrame:
-    """Stream of order wide rows that waits for no promotion.
-
-    Each row comes out at once without promotions, and again with them once they are
-    certain; keyed tables keep the later version, and marts that use no promotion count
-    the first.
-    """
-    plain = trade_order_pre_process(changes, None, span, delay, promotions=False)
-    full = trade_order_pre_process(changes, None, span, delay)
-    plain = plain.withColumns({c: F.lit(None).cast("string") for c in PROMOTIONS})
-    promoted = full.where(F.col("activity_id").isNotNull() | F.col("coupon_id").isNotNull())
-    return plain.unionByName(promoted)
-
-
 def trade_order_detail(order_wide: DataFrame) -> DataFrame:
     """Placed orders."""
     return order_wide.where(F.col("type") == "insert").drop("type", "old")

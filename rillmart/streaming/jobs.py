@@ -246,7 +246,7 @@ _simple("dwd_user_register", dwd_db.user_register)
 
 @job
 def dwd_trade_order_pre_process(w: Warehouse):
-    wide = dwd_db.trade_order_revisions(w.changes(), w.settings.order_retention, w.settings.delay)
+    wide = stateful.order_revisions(w.changes(), w.settings.order_retention, w.settings.delay)
 
     def make(batch: DataFrame) -> DataFrame:
         return dwd_db.name_code(batch, w.dictionary(batch), "source_type", at="od_ts")
