@@ -659,6 +659,19 @@ def stream_window_append(spark, sf):
     return run.drain(spark, build, "stream_window_append")
 
 
+@query
+def stream_window_lateness(spark, sf):
+    """Windows that may be revised for ten minutes, as they stand when the input ends."""
+
+    def build(session):
+        rows = _page_stream(session, sf).select("ch", "during_time", tm.from_ms("ts").alias("rt"))
+        sums = rows.withColumn("pv_ct", F.lit(1).cast("bigint")).withColumnRenamed("during_time", "dur_sum")
+        return stateful.window_revisions([sums], WIDE.window, ["ch"], ["pv_ct", "dur_sum"], WIDE.delay, "10 minutes")
+
+    rows = run.drain(spark, build, "stream_window_lateness")
+    return rows.groupBy("stt", "edt", "ch").agg(F.max("pv_ct").alias("pv_ct"), F.max("dur_sum").alias("dur_sum"))
+
+
 @query
 def stream_window_count_distinct(spark, sf):
     def build(session):

@@ -600,6 +600,12 @@ SQL |= {
                    (min(ts) // 3600000 + 1) * 3600000 AS closes
             FROM page_log GROUP BY 1, 2, ch)
         WHERE closes <= (SELECT max(ts) - 2000 FROM page_log)""",
+    "stream_window_lateness": f"""
+        SELECT stt, edt, ch, pv_ct, dur_sum FROM (
+            SELECT {bounds("ts")}, ch, count(*) AS pv_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum,
+                   (min(ts) // 3600000 + 1) * 3600000 AS closes
+            FROM page_log GROUP BY 1, 2, ch)
+        WHERE closes <= (SELECT max(ts) - 2000 FROM page_log)""",
     "stream_window_count_distinct": f"""
         SELECT stt, edt, page_id, visitors FROM (
             SELECT {bounds("ts")}, page_id, count(DISTINCT mid) AS visitors,

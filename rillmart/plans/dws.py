@@ -18,7 +18,8 @@ from rillmart.operators.latest import latest_per_key
 from rillmart.operators.windows import bounded, window_agg, window_count_distinct, window_sum
 from rillmart.settings import DEFAULTS, Settings
 
-_TRAFFIC_KEYS = ["vc", "ch", "ar", "is_new"]
+TRAFFIC_KEYS = ["vc", "ch", "ar", "is_new"]
+TRAFFIC_SUMS = ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")
 
 
 def _number(n: int) -> Column:
@@ -26,38 +27,39 @@ def _number(n: int) -> Column:
 
 
 def _measures(df: DataFrame, **given: Column) -> DataFrame:
-    names = ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")
     return df.select(
-        *_TRAFFIC_KEYS, *[c for c in ("ts", "rt") if c in df.columns], *[given.get(n, _number(0)).alias(n) for n in names]
+        *TRAFFIC_KEYS, *[c for c in ("ts", "rt") if c in df.columns], *[given.get(n, _number(0)).alias(n) for n in TRAFFIC_SUMS]
     )
 
 
-def traffic_measures(pages: DataFrame, unique: DataFrame, jumps: DataFrame) -> DataFrame:
-    """Page, unique-visitor and bounce records as one stream of measures."""
+def traffic_inputs(pages: DataFrame, unique: DataFrame, jumps: DataFrame) -> list[DataFrame]:
+    """Page, unique-visitor and bounce records as measures of one shape."""
     page_rows = _measures(
         pages,
         pv_ct=_number(1),
         sv_ct=visitors.count_if(F.col("last_page_id").isNull()),
         dur_sum=F.coalesce(F.col("during_time"), _number(0)),
     )
-    return page_rows.unionByName(_measures(unique, uv_ct=_number(1))).unionByName(
-        _measures(jumps, uj_ct=_number(1))
-    )
+    return [page_rows, _measures(unique, uv_ct=_number(1)), _measures(jumps, uj_ct=_number(1))]
+
+
+def traffic_measures(pages: DataFrame, unique: DataFrame, jumps: DataFrame) -> DataFrame:
+    """All three as one stream of measures."""
+    page_rows, unique_rows, jump_rows = traffic_inputs(pages, unique, jumps)
+    return page_rows.unionByName(unique_rows).unionByName(jump_rows)
 
 
 def traffic_page_view(
     pages: DataFrame, unique: DataFrame, jumps: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    """Each input has its own watermark, and the slowest counts: bounces, which are found
-    late, are not overtaken by pages. On a stream an idle input therefore holds windows open.
-    """
+    """Traffic per window. On a stream each window comes out once, when the slowest input has
+    passed it; the job revises windows instead (``stateful.window_revisions``)."""
 
     def stamped(df: DataFrame) -> DataFrame:
         return tm.with_event_time(df, tm.from_ms("ts"), settings.traffic_delay)
 
     rows = traffic_measures(stamped(pages), stamped(unique), stamped(jumps))
-    sums = {n: n for n in ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")}
-    return window_sum(rows, settings.window, _TRAFFIC_KEYS, sums)
+    return window_sum(rows, settings.window, TRAFFIC_KEYS, {n: n for n in TRAFFIC_SUMS})
 
 
 def source_keyword(page_log: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

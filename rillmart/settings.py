@@ -15,8 +15,10 @@ class Settings:
     window: str = "10 seconds"
     #: out-of-orderness allowed on the marts' inputs
     delay: str = "2 seconds"
-    #: the traffic mart waits for the bounce horizon, plus its allowed lateness
-    traffic_delay: str = "17 seconds"
+    #: the traffic mart waits for the bounce horizon ...
+    traffic_delay: str = "15 seconds"
+    #: ... and revises windows it has emitted for so long
+    traffic_lateness: str = "2 seconds"
     #: a session start with no follow-up for this long is a bounce
     bounce_horizon_ms: int = 15_000
     #: how far apart the sides of an order join may lie in event time

@@ -27,11 +27,10 @@ def parquet_writer(path: str, table: str) -> Callable[[DataFrame, int], None]:
 
 
 def revising_writer(path: str, table: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """Write windows as they change, for queries in ``update`` mode.
+    """Write windows as they change, and read the newest revision with ``revised``.
 
-    A window is readable from its first row on and is revised by every later one until
-    the watermark passes it: the delay acts as allowed lateness. Read the newest
-    revision with ``revised``.
+    For ``stateful.window_revisions``, whose windows come out closed and again for late rows,
+    and for aggregations in ``update`` mode, whose windows are readable from their first row on.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -142,6 +142,10 @@ class Warehouse:
         write = marts.parquet_writer(f"{self.root}/marts", name)
         return lambda batch, batch_id: write(make(batch), batch_id)
 
+    def to_revised_mart(self, name: str, keys: list[str]) -> Write:
+        """Windows that may come again; ``marts.revised`` reads the newest of each."""
+        return marts.revising_writer(f"{self.root}/marts", name, keys)
+
 
 def _good(raw: DataFrame, schema, *extra) -> DataFrame:
     """Records of an internal topic; what does not parse is nobody's record."""
@@ -317,8 +321,12 @@ def dwd_trade_refund_pay_suc(w: Warehouse):
 def dws_traffic_vc_ch_ar_is_new_page_view_window(w: Warehouse):
     unique = w.flat_pages("dwd_traffic_unique_visitor_detail")
     jumps = w.flat_pages("dwd_traffic_user_jump_detail")
-    rows = dws.traffic_page_view(w.page_log(), unique, jumps, w.settings)
-    return rows, w.to_mart("dws_traffic_vc_ch_ar_is_new_page_view_window")
+    inputs = [df.withColumn("rt", tm.from_ms("ts")) for df in dws.traffic_inputs(w.page_log(), unique, jumps)]
+    rows = stateful.window_revisions(
+        inputs, w.settings.window, dws.TRAFFIC_KEYS, list(dws.TRAFFIC_SUMS), w.settings.traffic_delay,
+        w.settings.traffic_lateness,
+    )
+    return rows, w.to_revised_mart("dws_traffic_vc_ch_ar_is_new_page_view_window", dws.TRAFFIC_KEYS)
 
 
 @job
