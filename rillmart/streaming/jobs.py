@@ -1,4 +1,4 @@
-"""The 28 jobs of the warehouse as streaming queries.
+"""The 28 jobs of the warehouse as streaming queries, and the change log they share.
 
 Every job reads topics or keyed tables, and writes topics, keyed tables or a mart, in
 micro-batches that can be replayed. Dictionaries and dimensions are read afresh for
@@ -20,13 +20,13 @@ from rillmart.functions import time as tm
 from rillmart.operators import split, visitors
 from rillmart.operators.asof import is_history
 from rillmart.operators.enrich import checked_broadcast
-from rillmart.operators.parse import parse_changes, parse_changes_whole, parse_json, parse_log_text
+from rillmart.operators.parse import parse_changes_whole, parse_json, parse_log_text
 from rillmart.plans import dwd_db, dwd_log, dws
 from rillmart.schemas import PAGE_RECORD, columns, fact_schema
 from rillmart.session import streaming_session
 from rillmart.settings import DEFAULTS, Settings
 from rillmart.sinks import dims as dim_sink
-from rillmart.sinks import marts, upsert
+from rillmart.sinks import changelog, marts, upsert
 from rillmart.sources import lookup
 from rillmart.sources.topics import Topics, as_topic
 from rillmart.streaming import run, stateful
@@ -71,8 +71,13 @@ class Warehouse:
 
     # -- inputs --
 
-    def changes(self) -> DataFrame:
-        return parse_changes(self.topics.read(self.session, "topic_db"))[0]
+    def changes(self, *tables: str) -> DataFrame:
+        """Change records of some tables, as the job ``change_log`` has parsed them."""
+        return changelog.follow(self.session, self.change_path, tables, self.topics.bound)
+
+    @property
+    def change_path(self) -> str:
+        return f"{self.root}/changes"
 
     def page_log(self) -> DataFrame:
         """Flat page records; ``seq`` breaks ties between records of one millisecond."""
@@ -167,21 +172,35 @@ def _arrived(df: DataFrame, wanted: list[str]) -> DataFrame:
 # -- dimensions and logs -----------------------------------------------------------
 
 
+@job
+def change_log(w: Warehouse):
+    """Every change record parsed once and laid out by table, for the jobs that follow; records
+    that cannot be used to the quarantine."""
+    keep, quarantine = changelog.writer(w.change_path), w.topics.writer("change_log")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = batch.persist()  # two sinks, one parse
+        keep(parsed.where("bad is null"), batch_id)
+        dirty = parsed.where("bad is not null")
+        quarantine(dirty.select(F.lit(dwd_log.TOPICS["dirty"]).alias("topic"), F.col("bad").alias("value")), batch_id)
+        parsed.unpersist()
+
+    return parse_changes_whole(w.topics.read(w.session, "topic_db")), write
+
+
 @job
 def dim_sink_app(w: Warehouse):
-    """Dimension rows to their tables; records that cannot be used to the quarantine."""
-    quarantine = w.topics.writer("dim_sink_app")
+    """Dimension rows to their tables. Which tables they come from is configured, so this job
+    follows all of them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sink = dim_sink.writer(
             w.table_path("dims"), lambda: w.config(batch.sparkSession), w.config_version,
             w.settings.honour_deletes, w.settings.compact_every,
         )
-        sink(batch.where("bad is null").drop("bad"), batch_id)
-        dirty = batch.where("bad is not null")
-        quarantine(dirty.select(F.lit(dwd_log.TOPICS["dirty"]).alias("topic"), F.col("bad").alias("value")), batch_id)
+        sink(batch, batch_id)
 
-    return parse_changes_whole(w.topics.read(w.session, "topic_db")), write
+    return w.changes(), write
 
 
 @job
@@ -225,24 +244,24 @@ def dwd_traffic_user_jump_detail(w: Warehouse):
 # -- facts of one table ------------------------------------------------------------
 
 
-def _simple(name: str, plan: Callable[..., DataFrame], named: bool = False):
+def _simple(name: str, table: str, plan: Callable[..., DataFrame], named: bool = False):
     def build(w: Warehouse):
         def make(batch: DataFrame) -> DataFrame:
             return plan(batch, w.dictionary(batch)) if named else plan(batch)
 
-        return w.changes(), w.to_topic(name, make)
+        return w.changes(table), w.to_topic(name, make)
 
     build.__name__ = name
     return job(build)
 
 
-_simple("dwd_interaction_comment", dwd_db.interaction_comment, named=True)
-_simple("dwd_interaction_favor_add", dwd_db.interaction_favor_add)
-_simple("dwd_tool_coupon_get", dwd_db.tool_coupon_get)
-_simple("dwd_tool_coupon_order", dwd_db.tool_coupon_order)
-_simple("dwd_tool_coupon_pay", dwd_db.tool_coupon_pay)
-_simple("dwd_trade_cart_add", dwd_db.trade_cart_add, named=True)
-_simple("dwd_user_register", dwd_db.user_register)
+_simple("dwd_interaction_comment", "comment_info", dwd_db.interaction_comment, named=True)
+_simple("dwd_interaction_favor_add", "favor_info", dwd_db.interaction_favor_add)
+_simple("dwd_tool_coupon_get", "coupon_use", dwd_db.tool_coupon_get)
+_simple("dwd_tool_coupon_order", "coupon_use", dwd_db.tool_coupon_order)
+_simple("dwd_tool_coupon_pay", "coupon_use", dwd_db.tool_coupon_pay)
+_simple("dwd_trade_cart_add", "cart_info", dwd_db.trade_cart_add, named=True)
+_simple("dwd_user_register", "user_info", dwd_db.user_register)
 
 
 # -- orders and refunds ------------------------------------------------------------
@@ -250,7 +269,8 @@ _simple("dwd_user_register", dwd_db.user_register)
 
 @job
 def dwd_trade_order_pre_process(w: Warehouse):
-    wide = stateful.order_revisions(w.changes(), w.settings.order_retention, w.settings.delay)
+    changes = w.changes("order_info", "order_detail", "order_detail_activity", "order_detail_coupon")
+    wide = stateful.order_revisions(changes, w.settings.order_retention, w.settings.delay)
 
     def make(batch: DataFrame) -> DataFrame:
         return dwd_db.name_code(batch, w.dictionary(batch), "source_type", at="od_ts")
@@ -278,7 +298,7 @@ def dwd_trade_pay_detail_suc(w: Warehouse):
         w.follow("dwd_trade_order_detail"), tm.from_seconds("oi_ts"), w.settings.revision_delay
     )
     paid = dwd_db.trade_pay_detail_suc(
-        w.changes(), detail, None, w.settings.order_retention, w.settings.delay
+        w.changes("payment_info"), detail, None, w.settings.order_retention, w.settings.delay
     )
 
     def make(batch: DataFrame) -> DataFrame:
@@ -291,7 +311,7 @@ def dwd_trade_pay_detail_suc(w: Warehouse):
 @job
 def dwd_trade_order_refund(w: Warehouse):
     rows = dwd_db.trade_order_refund(
-        w.changes(), None, w.settings.refund_retention, w.settings.delay
+        w.changes("order_refund_info", "order_info"), None, w.settings.refund_retention, w.settings.delay
     )
 
     def make(batch: DataFrame) -> DataFrame:
@@ -303,7 +323,7 @@ def dwd_trade_order_refund(w: Warehouse):
 @job
 def dwd_trade_refund_pay_suc(w: Warehouse):
     rows = dwd_db.trade_refund_pay_suc(
-        w.changes(), None, w.settings.refund_retention, w.settings.delay
+        w.changes("refund_payment", "order_refund_info", "order_info"), None, w.settings.refund_retention, w.settings.delay
     )
 
     def make(batch: DataFrame) -> DataFrame:
@@ -393,7 +413,7 @@ def dws_trade_payment_suc_window(w: Warehouse):
 
 @job
 def dws_trade_province_order_window(w: Warehouse):
-    rows = dws.province_window(w.changes(), w.settings)
+    rows = dws.province_window(w.changes("order_info"), w.settings)
     return rows, w.to_mart(
         "dws_trade_province_order_window", lambda b: dws.name_provinces(b, w.dims(b))
     )

@@ -57,6 +57,7 @@ def warehouse(spark, sf, tmp_path_factory):
         trigger={"availableNow": True},
     )
     w.batch_changes = changes
+    go(w, "change_log")
     return w
 
 
@@ -80,8 +81,8 @@ def closed(df, last):
     return df.where(F.col("edt") <= text)
 
 
-def test_there_are_28_jobs():
-    assert len(JOBS) == 28
+def test_there_are_28_jobs_and_the_change_log():
+    assert len(JOBS) == 28 + 1
 
 
 def test_log_jobs_and_traffic_marts(warehouse, sf):
@@ -258,7 +259,7 @@ def test_no_order_line_is_lost_with_production_delays(spark, tmp_path):
     changes, _ = parse.parse_changes(
         spark.createDataFrame([(x,) for texts in sent for x in texts], "value string")
     )
-    go(w, "dwd_trade_order_pre_process", "dwd_trade_order_detail")
+    go(w, "change_log", "dwd_trade_order_pre_process", "dwd_trade_order_detail")
     schema = fact_schema("dwd_trade_order_detail")
     detail = upsert.read_latest(spark, w.table_path("dwd_trade_order_detail"), schema, ["id"],
                                 ["row_op_ts", "oi_ts"], ["activity_id", "coupon_id"])
