@@ -4,6 +4,11 @@ Every line is described by binary features; a conditional random field with two
 (boilerplate, content) and weights on features and on neighbouring labels is trained on a
 bounded sample of labelled documents, and Viterbi decoding labels the lines of every
 document. The share of words in content lines decides whether a document is kept.
+
+Labels are known of documents, not of lines. Lines begin with their document's label; where
+labels change is taught by splices, the end of a good document before the start of a bad one or
+the other way round; and lines that the first model takes for the other kind than most of their
+document change their label before the model is trained again.
 """
 
 from __future__ import annotations
@@ -14,15 +19,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 #: labelled documents per class the model is fitted on, chosen by the hash of their id
 SAMPLE_DOCS = 1500
-#: lines of a sampled document that training looks at (decoding looks at all)
-SAMPLE_LINES = 300
+#: lines of the sampled documents of a class, together; documents are sampled whole or not at
+#: all, and one with more than a tenth of this is not sampled
+SAMPLE_LINES = 100_000
+#: lines of a training sequence, and of either side of a splice
+PIECE, SPLICE = 512, 48
 #: a document is kept if at least this share of its words stands in content lines
 MIN_CONTENT = 0.5
-EPOCHS, RATE, RIDGE = 150, 0.15, 0.01
+EPOCHS, AGAIN, RATE, RIDGE = 150, 60, 0.15, 0.01
 
 _SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 _SYMBOLS = "#*$%&|<>"
@@ -122,12 +130,13 @@ def viterbi(model: Field, scores: np.ndarray) -> list[int]:
     return out[::-1]
 
 
-def train(docs: list[tuple[np.ndarray, int]]) -> Field:
-    """Maximum likelihood by gradient steps (Adam) with forward-backward over padded documents.
+def train(docs: list[tuple[np.ndarray, np.ndarray]], model: Field | None = None, epochs: int = EPOCHS) -> Field:
+    """Maximum likelihood by gradient steps (Adam) with forward-backward over padded sequences.
 
-    Each line of a document carries the document's label.
+    A sequence is the features of its lines and the label of each.
     """
-    model = Field.blank()
+    model = model or Field.blank()
+    docs = [(x[at:at + PIECE], y[at:at + PIECE]) for x, y in docs for at in range(0, len(x), PIECE)]
     if not docs:
         return model
     docs = sorted(docs, key=lambda d: len(d[0]))
@@ -137,11 +146,12 @@ def train(docs: list[tuple[np.ndarray, int]]) -> Field:
         longest = max(len(x) for x, _ in part)
         x = np.zeros((len(part), longest, len(FEATURES)))
         real = np.zeros((len(part), longest), bool)
-        for i, (rows, _) in enumerate(part):
-            x[i, : len(rows)], real[i, : len(rows)] = rows, True
-        groups.append((x, real, np.array([y for _, y in part])))
+        y = np.zeros((len(part), longest), int)
+        for i, (rows, labels) in enumerate(part):
+            x[i, : len(rows)], real[i, : len(rows)], y[i, : len(rows)] = rows, True, labels
+        groups.append((x, real, y))
     shape = [model.emit.shape, model.move.shape, model.start.shape]
-    theta = np.zeros(sum(int(np.prod(s)) for s in shape))
+    theta = np.concatenate([model.emit.ravel(), model.move.ravel(), model.start.ravel()])
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     lines = sum(real.sum() for _, real, _ in groups)
 
@@ -149,7 +159,7 @@ def train(docs: list[tuple[np.ndarray, int]]) -> Field:
         cut = np.cumsum([int(np.prod(s)) for s in shape])[:-1]
         return Field(*(p.reshape(s) for p, s in zip(np.split(v, cut), shape)))
 
-    for epoch in range(1, EPOCHS + 1):
+    for epoch in range(1, epochs + 1):
         model = unpack(theta)
         parts = [np.zeros(s) for s in shape]
         for group in groups:
@@ -162,8 +172,9 @@ def train(docs: list[tuple[np.ndarray, int]]) -> Field:
 
 
 def _gradient(model: Field, x: np.ndarray, real: np.ndarray, y: np.ndarray):
-    """Observed minus expected counts of features, moves and starts."""
+    """Observed minus expected counts of features, moves and starts; y: labels of lines, or one a row."""
     n, longest, _ = x.shape
+    y = np.broadcast_to(y if y.ndim == 2 else y[:, None], (n, longest))
     score = x @ model.emit.T
     fwd = np.zeros((n, longest, 2))
     bwd = np.zeros((n, longest, 2))
@@ -177,22 +188,45 @@ def _gradient(model: Field, x: np.ndarray, real: np.ndarray, y: np.ndarray):
         bwd[:, t] = np.where(real[:, t + 1, None], step, bwd[:, t])
     norm = np.logaddexp(fwd[:, -1, 0], fwd[:, -1, 1])
     node = np.exp(fwd + bwd - norm[:, None, None]) * real[:, :, None]
-    truth = np.zeros_like(node)
-    truth[np.arange(n), :, y] = 1.0
-    truth *= real[:, :, None]
+    truth = (y[:, :, None] == np.arange(2)) * real[:, :, None]
     gap = truth - node
     move = np.zeros((2, 2))
     both = real[:, 1:]
     for i in (0, 1):
         for j in (0, 1):
             pair = np.exp(fwd[:, :-1, i] + model.move[i, j] + score[:, 1:, j] + bwd[:, 1:, j] - norm[:, None])
-            seen = (y[:, None] == i) & (i == j)
+            seen = (y[:, :-1] == i) & (y[:, 1:] == j)
             move[i, j] = ((seen - pair) * both).sum()
     return np.einsum("ntk,ntf->kf", gap, x), move, gap[:, 0].sum(axis=0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
-    """The field fitted on at most ``sample`` labelled documents of either quality."""
+def splices(good: list[np.ndarray], bad: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Ends of documents of one class before starts of the other, in either order by turns."""
+    out = []
+    for i, (g, b) in enumerate(zip(good, bad)):
+        sides = ((g, 1), (b, 0)) if i % 2 else ((b, 0), (g, 1))
+        (x, p), (y, q) = sides
+        x, y = x[-SPLICE:], y[:SPLICE]
+        out.append((np.concatenate([x, y]), np.repeat([p, q], [len(x), len(y)])))
+    return out
+
+
+def learned(good: list[np.ndarray], bad: list[np.ndarray]) -> Field:
+    """The field of two classes of documents, each the features of its lines."""
+    whole = [(x, np.full(len(x), q)) for q, part in ((1, good), (0, bad)) for x in part]
+    mixed = splices(good, bad)
+    model = train(whole + mixed)
+    if not (good and bad):
+        return model
+    relabelled = []
+    for x, y in whole:
+        found = np.array(viterbi(model, x @ model.emit.T))
+        relabelled.append((x, found if 2 * (found == y).sum() > len(y) else y))
+    return train(relabelled + mixed, model, AGAIN)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, lines: int = SAMPLE_LINES) -> Field:
+    """The field fitted on at most ``sample`` labelled documents and ``lines`` lines per class."""
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     order = F.xxhash64(F.lit(1), "doc_id")
     ids = None
@@ -200,25 +234,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
         part = known.where(F.col("quality") == q).orderBy(order, "doc_id").limit(sample)
         ids = part if ids is None else ids.unionByName(part)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("quality", "text", F.xxhash64("text").alias("h"), "doc_id")
+    longest = lines // 10
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [np.array(described(t)[0][:SAMPLE_LINES], np.uint8).tobytes() for t in b.column("text").to_pylist()]
+            found = (described(t)[0] for t in b.column("text").to_pylist())
+            x = [np.array(r if len(r) <= longest else [], np.uint8).tobytes() for r in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("h"), b.column("quality").cast(pa.int32()), pa.array(x, pa.binary())],
                 ["doc_id", "h", "quality", "x"],
             )
 
     # repeated rows of a sampled id count once, so the sample stays bounded
-    found = rows.mapInArrow(each, "doc_id long, h long, quality int, x binary").groupBy("doc_id").agg(
+    once = rows.mapInArrow(each, "doc_id long, h long, quality int, x binary").groupBy("doc_id").agg(
         F.min(F.struct("h", "quality", "x")).alias("r")
-    ).select("doc_id", "r.quality", "r.x").orderBy("doc_id").collect()
-    examples = []
-    for r in found:
+    ).select("doc_id", "r.quality", "r.x")
+    so_far = Window.partitionBy("quality").orderBy(order, "doc_id")
+    within = once.withColumn("upto", F.sum(F.length("x")).over(so_far)).where(
+        F.col("upto") <= lines * len(FEATURES)
+    )
+    classes: tuple[list, list] = ([], [])
+    for r in within.orderBy(order, "doc_id").select("quality", "x").collect():
         x = np.frombuffer(r["x"], np.uint8).reshape(-1, len(FEATURES)).astype(float)
         if len(x):
-            examples.append((x, r["quality"]))
-    return train(examples)
+            classes[r["quality"]].append(x)
+    return learned(classes[1], classes[0])
 
 
 REPORT = (

@@ -90,6 +90,43 @@ def test_held_out_documents_are_told_apart(llm):
     assert n[0, False] >= 0.9 * (n[0, True] + n[0, False])
 
 
+PROSE, MENU = "The harvest of the northern valley was early that year.", "HOME | LOGIN | CART | HELP"
+
+
+def test_a_document_of_both_kinds_has_a_share_between(llm):
+    rows = [(i, "\n".join([f"{PROSE[:-1]} {i} {k}." for k in range(20)])) for i in range(40)]
+    rows += [(100 + i, "\n".join([f"{MENU} | {i} {k}" for k in range(20)])) for i in range(40)]
+    labels = llm.createDataFrame([(i, int(i < 100), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = quality.fit(llm.createDataFrame(rows, "doc_id long, text string"), labels)
+    for good, bad in ((12, 4), (6, 6), (3, 15)):
+        prose, menu = [f"{PROSE} {k}." for k in range(good)], [f"{MENU} | {k}" for k in range(bad)]
+        words = [len(" ".join(x).split()) for x in (prose, menu)]
+        for lines in (prose + menu, menu + prose, prose[:good // 2] + menu + prose[good // 2:]):
+            *_, share = quality.judged(model, ["\n".join(lines)])[0]
+            assert share == words[0] / sum(words)
+    # the share decides where the base rules pass: no three words come twice here
+    line = lambda k: " ".join(chr(97 + k) * n for n in (3, 5, 4, 6, 2, 7, 8, 9)).capitalize() + "."
+    prose = [line(k) for k in range(12)]
+    for bad, verdict in ((10, True), (60, False)):
+        menu = [f"LOGIN{k} | CART{k} | HELP{k}" for k in range(bad)]
+        *_, failed, kept, share = quality.judged(model, ["\n".join(prose + menu)])[0]
+        assert (failed, kept) == (False, verdict) and share == 96 / (96 + 5 * bad)
+
+
+def test_training_reads_whole_documents(llm):
+    """What tells the classes apart stands behind line 2,000; documents over the bound are left out."""
+    same = "\n".join(f"Plain words number {k} stand here." for k in range(2000))
+    rows = [(i, f"{same}\n" + "\n".join([MENU if i % 2 else PROSE] * 30)) for i in range(6)]
+    rows.append((7, "\n".join([PROSE] * 3000)))
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    labels = llm.createDataFrame([(i, 1 - i % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels, lines=25_000)
+    tail = lambda line: np.array(quality.described("\n".join([line] * 9))[0]) @ model.emit.T
+    assert sum(quality.viterbi(model, tail(PROSE))) > sum(quality.viterbi(model, tail(MENU))) == 0
+    none = quality.fit(docs, labels, lines=100)
+    assert not none.emit.any()
+
+
 def test_quality_odd_rows(llm, odd, empty):
     labels = llm.createDataFrame([], "doc_id long, quality int, toxic int")
     model = quality.fit(odd, labels)
