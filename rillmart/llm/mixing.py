@@ -79,13 +79,17 @@ def shares(sized: DataFrame, weights: list[float] = [1.0, 2.0, 3.0], cap: int =
 
 
 def sized(docs: DataFrame, seed: int, payload: Column | None = None) -> DataFrame:
-    """doc_id, source, size and the order key of every document."""
+    """doc_id, source, size and the order key of every document.
+
+    The key is drawn from id and text, so rows that share an id are spread over the stream.
+    """
     text = F.col("text")
+    digest = F.md5(F.coalesce(text, F.lit("")))
     extra = [payload.alias("payload")] if payload is not None else []
     return docs.select(
         "doc_id", "source", word_count(text).alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"),
-        F.md5(F.coalesce(text, F.lit(""))).alias("text_md5"), *extra,
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest)).alias("h"),
+        digest.alias("text_md5"), *extra,
     )
 
 
@@ -241,17 +245,24 @@ def mix(
 
 
 def taken(docs: DataFrame, seed: int = 7, weights: list[float] = [1.0, 2.0, 3.0], block: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, size, source_size, target, taken: how much the mix takes of each document."""
+    """How much the mix takes of each document, and where: doc_id, size, source_size, target,
+    taken, first_slot, last_slot (null if it takes nothing), n_slots (blocks it has words in)."""
+    given = F.col("slot").isNotNull()
     return (
         mix(docs, seed, weights, block)
         .groupBy("src", "range", "row", "doc_id", "size", "source_size", "target")
-        .agg(F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("last") - F.col("first"))), F.lit(0)).alias("taken"))
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .agg(
+            F.coalesce(F.sum(F.when(given, F.col("last") - F.col("first"))), F.lit(0)).alias("taken"),
+            F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"),
+            F.count(F.when(given, 1)).alias("n_slots"),
+        )
+        .select("doc_id", "size", "source_size", "target", "taken", "first_slot", "last_slot", "n_slots")
     )
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7, weights: list[float] = [1.0, 2.0, 3.0], block: int = BLOCK_WORDS) -> DataFrame:
-    """The mix as documents with the columns of docs: one row per document and pass.
+    """The mix as documents with the columns of docs: one row per document and pass, in the
+    order of the slots that take their first words, over partitions and within them.
 
     A pass that takes a whole document keeps its text; the last pass of a source may end
     within a document, whose text is then cut behind the last word taken. Documents that give
@@ -261,7 +272,7 @@ def mixed_documents(docs: DataFrame, seed: int = 7, weights: list[float] = [1.0,
     passes = (
         found.where("slot is not null")
         .groupBy("src", "range", "row", "epoch", "size")
-        .agg(F.max("last").alias("upto"))
+        .agg(F.max("last").alias("upto"), F.min("slot").alias("at"))
     )
     names = docs.columns
     whole = ranged(sized(docs, seed, F.struct(*[F.col(f"`{c}`") for c in names])), digits)
@@ -274,7 +285,8 @@ def mixed_documents(docs: DataFrame, seed: int = 7, weights: list[float] = [1.0,
         F.when(
             F.col("upto") < F.col("size"), first_words(F.col("payload.text"), F.col("upto"))
         ).otherwise(F.col("payload.text")).alias("__mixed_text"),
-    )
+        F.col("at").alias("__slot"), F.concat("range", F.lit(":"), F.col("row")).alias("__place"),
+    ).repartitionByRange("__slot", "__place").sortWithinPartitions("__slot", "__place")
     new = {"text": F.col("__mixed_text")}
     if "n_chars" in names:
         new["n_chars"] = F.length("__mixed_text").cast(docs.schema["n_chars"].dataType)

@@ -7,7 +7,8 @@ _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 _MIX = rf"""
 WITH d AS (
     SELECT doc_id, source, CAST({_WORDS} AS BIGINT) AS size,
-           md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h, md5(coalesce(text, '')) AS t
+           md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h,
+           md5(coalesce(text, '')) AS t
     FROM documents),
 s AS (
     SELECT source, sum(size)::BIGINT AS source_size,
@@ -26,16 +27,42 @@ g AS (
     SELECT source, source_size,
            CASE WHEN capped THEN (3 * source_size)::DOUBLE ELSE (b - c)::DOUBLE * w / free_w END AS target
     FROM q),
+m AS (
+    SELECT *, CAST(floor(target) AS BIGINT) AS words, CAST(ceil(floor(target) / 1024) AS BIGINT) AS quota,
+           row_number() OVER (ORDER BY source NULLS LAST) - 1 AS src, count(*) OVER () AS n_src
+    FROM g),
+k AS (
+    SELECT *, CAST(sum(quota) OVER () AS BIGINT) AS slots,
+           CAST(sum(quota) OVER (ORDER BY src ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+    FROM m),
+-- slot i has the golden-ratio point i * 1327217885 / 2^31, less its whole part
+i AS (
+    SELECT i AS slot, ((i % 2147483648) * 1327217885 % 2147483648) / 2147483648::DOUBLE AS point
+    FROM (SELECT unnest(range((SELECT coalesce(max(slots), 0) FROM k))) AS i)),
+j AS (
+    SELECT slot, k.src, row_number() OVER (PARTITION BY k.src ORDER BY slot) - 1 AS rank
+    FROM i JOIN k ON point < upto::DOUBLE / slots AND point >= (upto - quota)::DOUBLE / slots),
+a AS (
+    SELECT src, rank, slot FROM j JOIN k USING (src) WHERE rank < quota
+    UNION ALL
+    SELECT src, rank, slots + rank * n_src + src
+    FROM (SELECT *, unnest(range((SELECT count(*) FROM j WHERE j.src = k.src), quota)) AS rank FROM k)),
 x AS (
-    SELECT d.doc_id, d.size, g.source_size, g.target, CAST(floor(g.target) AS BIGINT) AS words,
-           (sum(d.size) OVER (PARTITION BY d.source ORDER BY h, doc_id NULLS FIRST, size, t ROWS UNBOUNDED PRECEDING)
-            - d.size)::BIGINT AS pos
-    FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+    SELECT d.doc_id, d.size, k.source_size, k.target, k.words, k.src,
+           (sum(d.size) OVER v - d.size)::BIGINT AS pos, row_number() OVER v AS place
+    FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source
+    WINDOW v AS (PARTITION BY k.src ORDER BY h, doc_id NULLS FIRST, size, t ROWS UNBOUNDED PRECEDING)),
+-- up to three passes over a source; the words of a pass, and the blocks they lie in
+e AS (
+    SELECT *, epoch * source_size + pos AS b, least(epoch * source_size + pos + size, words) AS z
+    FROM x, (SELECT unnest(range(3)) AS epoch)),
+f AS (SELECT *, unnest(CASE WHEN z > b THEN range(b // 1024, (z - 1) // 1024 + 1) ELSE [NULL] END) AS rank FROM e)
 SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(pos + size, words) - pos)
-            + greatest(0, least(source_size + pos + size, words) - source_size - pos)
-            + greatest(0, least(2 * source_size + pos + size, words) - 2 * source_size - pos) AS BIGINT) AS taken
-FROM x
+       CAST(coalesce(sum(least(z, (f.rank + 1) * 1024) - greatest(b, f.rank * 1024))
+                     FILTER (slot IS NOT NULL), 0) AS BIGINT) AS taken,
+       min(slot) AS first_slot, max(slot) AS last_slot, count(slot) AS n_slots
+FROM f LEFT JOIN a ON a.src = f.src AND a.rank = f.rank
+GROUP BY f.src, place, doc_id, size, source_size, target
 """
 
 # the template: <turn ROLE>\nTEXT</turn>\n, with a backslash before each backslash and before

@@ -314,6 +314,34 @@ def test_mixed_documents_hold_the_words_taken(llm, sf):
     assert got == Counter({i: n for i, n in taken.items() if n})
 
 
+def test_the_schedule_decides_the_mix(llm, sf, monkeypatch):
+    """Slots of one source lie among all others'; without the schedule the mix is another."""
+    docs = table(llm, sf, "documents")
+    want = {r["doc_id"]: r for r in mixing.taken(docs, block=64).collect()}
+    order = [r["doc_id"] for r in mixing.mixed_documents(docs, block=64).collect()]
+    first = [want[i]["first_slot"] for i in dict.fromkeys(order)]
+    assert first == sorted(first)
+    source = {r["doc_id"]: r["source"] for r in docs.select("doc_id", "source").collect()}
+    turns = sum(source[a] != source[b] for a, b in zip(order, order[1:]))
+    assert turns > len(order) / 3
+
+    def in_turn(spark, of, block=1024):
+        rows = [(i, r) for i, s in enumerate(of) for r in range(-(-s.words // block))]
+        return spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "src int, rank long, slot long")
+
+    monkeypatch.setattr(mixing, "schedule", in_turn)
+    other = {r["doc_id"]: r for r in mixing.taken(docs, block=64).collect()}
+    assert all(other[i]["taken"] == want[i]["taken"] for i in want)
+    assert sum(other[i]["first_slot"] != want[i]["first_slot"] for i in want) > len(want) / 2
+    assert [r["doc_id"] for r in mixing.mixed_documents(docs, block=64).collect()] != order
+
+
+def test_rows_of_one_id_spread_over_the_stream(llm):
+    docs = llm.createDataFrame([(7, f"text {i} " * 20, "a") for i in range(300)], "doc_id long, text string, source string")
+    rows = mixing.ranged(mixing.sized(docs, 7), 1).groupBy("range").count().collect()
+    assert len(rows) == 16 and max(r["count"] for r in rows) < 60
+
+
 # -- sharding ----------------------------------------------------------------------
 
 
