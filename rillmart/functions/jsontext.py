@@ -6,6 +6,8 @@ variants, which keep every value but may write a number in another way (1.50 as
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 
@@ -46,11 +48,18 @@ def is_flat(text: Column) -> Column:
 
 
 def without(text: Column, *names: str) -> Column:
-    """The object less the named members; untouched when it has none of them."""
+    """The object less the named members; untouched when it has none of them.
+
+    A text without any of the names in quotes, nor an escape that could spell one, is not read.
+    """
     values = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
     rest = F.to_json(F.map_filter(values, lambda k, _: ~k.isin(*names)))
     found = F.arrays_overlap(F.json_object_keys(text), F.array(*[F.lit(n) for n in names]))
-    return F.when(found, rest).otherwise(text)
+    return F.when(_may_name(text, *names) & found, rest).otherwise(text)
+
+
+def _may_name(text: Column, *names: str) -> Column:
+    return text.rlike('"(?:' + "|".join(map(re.escape, names)) + r')"\s*:|\\u')
 
 
 def others(text: Column, *names: str) -> Column:

@@ -61,7 +61,7 @@ def parse_log_text(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Application logs with their objects as JSON text, for the log split.
 
     Adds ``mid`` and ``is_new``, the record's members of other names as text in ``rest``,
-    and the whole text of a record that is dirty in ``bad``. A record is dirty too whose
+    and the whole text of a record that is dirty in ``bad`` (empty for none). A record is dirty too whose
     page, start or array items are no objects: no topic could take them.
     """
     parsed = parse_json(raw, LOG_TEXT, keep=keep)
@@ -80,7 +80,7 @@ def parse_log_text(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     ok = F.col("ok")
     return judged.select(
         *(keep or []),
-        F.when(~ok, F.col("value")).alias("bad"),
+        F.when(~ok, F.coalesce("value", F.lit(""))).alias("bad"),
         F.when(ok, mid).alias("mid"),
         F.when(ok, F.get_json_object(fields["common"], "$.is_new")).alias("is_new"),
         *[F.when(ok, field).alias(n) for n, field in fields.items()],

@@ -23,19 +23,12 @@ _DAY_MS = 86_400_000
 _SPREAD = Decimal(10**20)
 
 
-def repair_new_visitors(
-    log: DataFrame,
-    key: str = "mid",
-    seq: str = "seq",
-    salts: int = DEFAULTS.salts,
-) -> DataFrame:
-    """Set ``is_new`` to '0' where a visitor's history shows they are not new.
+def first_days(log: DataFrame, key: str = "mid", seq: str = "seq") -> DataFrame:
+    """(key, first_day): the day on which each visitor counts as new.
 
-    The first record fixes the first visit: its own day when it claims to be new,
-    the day before otherwise. A later claim on another day is wrong. Needs flat
-    ``mid, ts, seq, is_new, dt``; one row per visitor and task is shuffled to find the
-    first day, and the log itself is joined in salted pieces. Records without a visitor stay
-    as they are; those without a time tell nothing about it.
+    The first record fixes it: its own day when it claims to be new, the day before
+    otherwise. Needs flat ``mid, ts, seq, is_new, dt``; one row per visitor and task is
+    shuffled. Records without a visitor or a time tell nothing about it.
     """
     claims_new = F.coalesce(F.col("is_new") == "1", F.lit(False))
     # time, number and claim as one number, so that the least is found by hashing, not sorting
@@ -45,7 +38,21 @@ def repair_new_visitors(
         (F.pmod(F.min(record), F.lit(2)) == 1).alias("new"), F.min("dt").alias("day")
     )
     first_day = F.when(F.col("new"), F.col("day")).otherwise(F.date_sub("day", 1))
-    first = first.select(key, first_day.alias("first_day"))
+    return first.select(key, first_day.alias("first_day"))
+
+
+def correct_claims(
+    log: DataFrame,
+    first: DataFrame,
+    key: str = "mid",
+    seq: str = "seq",
+    salts: int = DEFAULTS.salts,
+) -> DataFrame:
+    """Set ``is_new`` to '0' where a record claims it on another day than ``first`` has.
+
+    The log is joined in salted pieces. Only records that claim to be new can change, so a
+    caller may leave the others out.
+    """
     joined = salted_join(log, first, [key], [seq, "ts"], "left", salts)
     wrong = (F.col("is_new") == "1") & (F.col("first_day") != F.col("dt"))
     return joined.withColumn("is_new", F.when(wrong, F.lit("0")).otherwise(F.col("is_new"))).drop(
@@ -53,6 +60,20 @@ def repair_new_visitors(
     )
 
 
+def repair_new_visitors(
+    log: DataFrame,
+    key: str = "mid",
+    seq: str = "seq",
+    salts: int = DEFAULTS.salts,
+) -> DataFrame:
+    """Set ``is_new`` to '0' where a visitor's history shows they are not new.
+
+    A claim on another day than the visitor's first is wrong. Records without a visitor
+    stay as they are.
+    """
+    return correct_claims(log, first_days(log, key, seq), key, seq, salts)
+
+
 def session_starts(log: DataFrame) -> DataFrame:
     """Records that were not reached from another page."""
     return log.where(F.col("last_page_id").isNull())

@@ -47,14 +47,28 @@ TOPICS = {
 }
 
 
+def may_claim(value: Column) -> Column:
+    """Whether a log text can hold ``is_new`` 1, under any spelling (letters and digits have no
+    escapes but ``\\u``)."""
+    return F.coalesce(value.rlike(r'"is_new"\s*:\s*"?1|\\u'), F.lit(False))
+
+
 def base_log(raw: DataFrame, seq: str = "seq", settings: Settings = DEFAULTS) -> DataFrame:
-    """Raw JSON log to (seq, topic, value): five topics and the quarantine, in one pass.
+    """Raw JSON log to (seq, topic, value): five topics and the quarantine.
 
-    Rows that do not parse, or name no device, keep their text under ``dirty``.
+    Rows that do not parse, or name no device, keep their text under ``dirty``. Only
+    records that may claim a new visitor meet the first days in a join; the others are
+    told by their text, and are split where they are read.
     """
-    log = parse_log_text(raw, keep=[seq]).withColumn("dt", tm.day("ts"))
-    fixed = visitors.repair_new_visitors(log, seq=seq, salts=settings.salts)
-    return split.tagged(fixed.withColumn("common", patched()), TOPICS, (seq,))
+
+    def parsed(part: DataFrame) -> DataFrame:
+        return parse_log_text(part, keep=[seq]).withColumn("dt", tm.day("ts"))
+
+    first = visitors.first_days(parsed(raw), seq=seq)
+    claim = may_claim(F.col("value"))
+    fixed = visitors.correct_claims(parsed(raw.where(claim)), first, seq=seq, salts=settings.salts)
+    changed = split.tagged(fixed.withColumn("common", patched()), TOPICS, (seq,))
+    return changed.unionByName(split.tagged(parsed(raw.where(~claim)), TOPICS, (seq,)))
 
 
 def unique_visitor_detail(page_log: DataFrame) -> DataFrame:

@@ -128,6 +128,28 @@ def test_log_records_pass_through_as_written(spark):
     }
 
 
+def test_claims_are_found_under_any_spelling(spark):
+    """A claim is corrected however its name and value are written; other records keep their text."""
+    first = '{"common":{"mid":"m","is_new":"0"},"page":{"page_id":"a"},"ts":%d}' % T0
+    claims = [
+        '{"common":{"mid":"m","is_new" : "1"},"page":{"page_id":"b"},"ts":%d}' % (T0 + 1),
+        '{"common":{"mid":"m","is_new":1},"page":{"page_id":"c"},"ts":%d}' % (T0 + 2),
+        '{"common":{"mid":"m","is_ne\\u0077":"1"},"page":{"page_id":"d"},"ts":%d}' % (T0 + 3),
+        '{"common":{"mid":"m","is_new":"\\u0031"},"page":{"page_id":"e"},"ts":%d}' % (T0 + 4),
+    ]
+    items = '{"common":{"mid":"m"},"page":{"page_id":"f"},"actions":[{"t\\u0073":4,"n":"\\"ts\\""}],"ts":%d}' % (T0 + 5)
+    rows = list(enumerate([first, *claims, items, None]))
+    out = dwd_log.base_log(spark.createDataFrame(rows, "seq bigint, value string")).collect()
+    pages = {r.seq: json.loads(r.value) for r in out if r.topic == dwd_log.TOPICS["page"]}
+    assert [pages[i]["common"]["is_new"] for i in range(5)] == ["0"] * 5
+    assert [r.value for r in out if r.seq == 0] == [first]
+    assert "is_new" not in pages[5]["common"]
+    action = [json.loads(r.value) for r in out if r.topic == dwd_log.TOPICS["action"]]
+    assert action == [{"common": {"mid": "m"}, "page": {"page_id": "f"}, "ts": T0 + 5, "n": '"ts"'}]
+    assert [(r.seq, r.value) for r in out if r.topic == dwd_log.TOPICS["dirty"]] == [(6, "")]
+    assert 6 not in pages
+
+
 def test_single_kind_selects_match_the_tagged_pass(spark):
     raw = spark.createDataFrame(
         [(log_record(page={"page_id": "p"}, actions=[{"action_id": "a"}], displays=None),)],
