@@ -91,20 +91,20 @@ def read_latest(
     return newest.where(~F.col(_DELETED)).drop(_DELETED, "batch_id")
 
 
-def _children(spark: SparkSession, pattern: str) -> list:
+def children(spark: SparkSession, pattern: str) -> list:
     """Paths that match, in whatever store they lie; one entry per batch or base folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
     return [f.getPath() for f in found or []]
 
 
-def _number(path) -> int:
+def number(path) -> int:
     return int(path.getName().split("=")[1])
 
 
 def _bases(spark: SparkSession, path: str) -> list[int]:
     """Complete bases, oldest first: a base counts from the marker its writer leaves last."""
-    return sorted(_number(p.getParent()) for p in _children(spark, f"{path}/base/upto=*/_SUCCESS"))
+    return sorted(number(p.getParent()) for p in children(spark, f"{path}/base/upto=*/_SUCCESS"))
 
 
 def compacted_upto(spark: SparkSession, path: str) -> int | None:
@@ -149,7 +149,7 @@ def free(spark: SparkSession, path: str) -> None:
     if len(bases) < 2:
         return
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    old = [p for p in _children(spark, f"{deltas(path)}/batch_id=*") if _number(p) <= bases[-2]]
-    old += [p for p in _children(spark, f"{path}/base/upto=*") if _number(p) < bases[-2]]
+    old = [p for p in children(spark, f"{deltas(path)}/batch_id=*") if number(p) <= bases[-2]]
+    old += [p for p in children(spark, f"{path}/base/upto=*") if number(p) < bases[-2]]
     for p in old:
         p.getFileSystem(conf).delete(p, True)

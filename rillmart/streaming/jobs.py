@@ -1,4 +1,5 @@
-"""The 28 jobs of the warehouse as streaming queries, and the change log they share.
+"""The 28 jobs of the warehouse as streaming queries, the change log they share, and the
+fold of the dimension configuration.
 
 Every job reads topics or keyed tables, and writes topics, keyed tables or a mart, in
 micro-batches that can be replayed. Dictionaries and dimensions are read afresh for
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rillmart.functions import time as tm
 from rillmart.operators import split, visitors
 from rillmart.operators.asof import is_history
+from rillmart.operators.dims import config_snapshot
 from rillmart.operators.enrich import checked_broadcast
 from rillmart.operators.parse import parse_changes_whole, parse_json, parse_log_text
 from rillmart.plans import dwd_db, dwd_log, dws
@@ -26,7 +28,7 @@ from rillmart.schemas import PAGE_RECORD, columns, fact_schema
 from rillmart.session import streaming_session
 from rillmart.settings import DEFAULTS, Settings
 from rillmart.sinks import dims as dim_sink
-from rillmart.sinks import changelog, marts, upsert
+from rillmart.sinks import changelog, config as config_state, marts, upsert
 from rillmart.sources import lookup
 from rillmart.sources.topics import Topics, as_topic
 from rillmart.streaming import run, stateful
@@ -49,18 +51,26 @@ class Warehouse:
     return the dictionary and the change feed of the dimension configuration. A dictionary
     with its history (``asof.dictionary_history``) names facts as of their own second, so a
     replayed batch gets the names it got first; one without gives the names of the moment.
+
+    ``config_feed`` gives the configuration as a stream instead: the job ``dim_config`` folds it
+    into versions, the dimension job pins one per micro-batch, and ``config`` is not called.
+    With ``database`` the versions declare their tables in the catalog.
     """
 
     spark: SparkSession
     root: str
     topics: Topics
     dic: Callable[[SparkSession], DataFrame]
-    config: Callable[[SparkSession], DataFrame]
+    config: Callable[[SparkSession], DataFrame] | None = None
     config_version: list[str] = field(default_factory=lambda: ["ts_ms"])
     settings: Settings = DEFAULTS
     trigger: dict = field(default_factory=lambda: {"processingTime": "5 seconds"})
+    config_feed: Callable[[SparkSession], DataFrame] | None = None
+    database: str | None = None
 
     def __post_init__(self) -> None:
+        if (self.config is None) == (self.config_feed is None):
+            raise ValueError("a warehouse takes either config or config_feed")
         self.session = streaming_session(
             self.spark, self.settings.zone, self.settings.state_partitions
         )
@@ -69,6 +79,20 @@ class Warehouse:
         stream, write = JOBS[name](self)
         return run.start_batches(stream, write, f"{self.root}/checkpoints/{name}", self.trigger)
 
+    @property
+    def jobs(self) -> list[str]:
+        """The jobs this warehouse runs."""
+        return [name for name in JOBS if name != "dim_config" or self.config_feed]
+
+    def publish(self) -> None:
+        """Bring the declared tables up to the dimension store's current rows."""
+        version = config_state.read(self.spark, self.config_path)
+        snapshot = config_snapshot(version, self.config_version)
+        for name in config_state.declare(self.spark, snapshot, self.database, self.dimension_path):
+            wanted = config_state.columns_of(self.spark, self.database, name)
+            rows = lookup.dimension(self.spark, self.table_path("dims"), name, wanted)
+            config_state.publish(rows, self.database, name)
+
     # -- inputs --
 
     def changes(self, *tables: str) -> DataFrame:
@@ -79,6 +103,14 @@ class Warehouse:
     def change_path(self) -> str:
         return f"{self.root}/changes"
 
+    @property
+    def config_path(self) -> str:
+        return f"{self.root}/config"
+
+    @property
+    def dimension_path(self) -> str:
+        return f"{self.root}/dimensions"
+
     def page_log(self) -> DataFrame:
         """Flat page records; ``seq`` breaks ties between records of one millisecond."""
         return self.flat_pages(dwd_log.TOPICS["page"], "base_log")
@@ -188,14 +220,26 @@ def change_log(w: Warehouse):
     return parse_changes_whole(w.topics.read(w.session, "topic_db")), write
 
 
+@job
+def dim_config(w: Warehouse):
+    """The configuration feed folded into versions, and the tables it declares."""
+    write = config_state.writer(w.config_path, w.config_version, w.database, w.dimension_path)
+    return w.config_feed(w.session), write
+
+
 @job
 def dim_sink_app(w: Warehouse):
     """Dimension rows to their tables. Which tables they come from is configured, so this job
     follows all of them."""
 
+    def configured(spark: SparkSession, batch_id: int) -> DataFrame:
+        if w.config_feed:
+            return config_state.pinned(spark, w.config_path, "dim_sink_app", batch_id)
+        return w.config(spark)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         sink = dim_sink.writer(
-            w.table_path("dims"), lambda: w.config(batch.sparkSession), w.config_version,
+            w.table_path("dims"), lambda: configured(batch.sparkSession, batch_id), w.config_version,
             w.settings.honour_deletes, w.settings.compact_every,
         )
         sink(batch, batch_id)

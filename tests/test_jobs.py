@@ -81,8 +81,8 @@ def closed(df, last):
     return df.where(F.col("edt") <= text)
 
 
-def test_there_are_28_jobs_and_the_change_log():
-    assert len(JOBS) == 28 + 1
+def test_there_are_28_jobs_the_change_log_and_the_config_fold():
+    assert len(JOBS) == 28 + 2
 
 
 def test_log_jobs_and_traffic_marts(warehouse, sf):
