@@ -58,7 +58,7 @@ def base_log(raw: DataFrame, seq: str = "seq", settings: Settings = DEFAULTS) ->
 
     Rows that do not parse, or name no device, keep their text under ``dirty``. Only
     records that may claim a new visitor meet the first days in a join; the others are
-    told by their text, and are split where they are read.
+    told by their text and stay where they are read.
     """
 
     def parsed(part: DataFrame) -> DataFrame:
@@ -67,8 +67,8 @@ def base_log(raw: DataFrame, seq: str = "seq", settings: Settings = DEFAULTS) ->
     first = visitors.first_days(parsed(raw), seq=seq)
     claim = may_claim(F.col("value"))
     fixed = visitors.correct_claims(parsed(raw.where(claim)), first, seq=seq, salts=settings.salts)
-    changed = split.tagged(fixed.withColumn("common", patched()), TOPICS, (seq,))
-    return changed.unionByName(split.tagged(parsed(raw.where(~claim)), TOPICS, (seq,)))
+    whole = fixed.withColumn("common", patched()).unionByName(parsed(raw.where(~claim)))
+    return split.tagged(whole, TOPICS, (seq,))
 
 
 def unique_visitor_detail(page_log: DataFrame) -> DataFrame:

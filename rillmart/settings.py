@@ -25,6 +25,9 @@ class Settings:
     order_retention: str = "905 seconds"
     #: the same for refunds and refund payments
     refund_retention: str = "5 seconds"
+    #: the SKU mart takes the first version of a detail; with a number, the newest that comes
+    #: within so many ms of it by the clock
+    sku_hold_ms: int | None = None
     #: a user away for longer than this counts as returning
     back_after_days: int = 7
     #: a side is broadcast only when it is known to be at most this large

@@ -466,10 +466,18 @@ def dws_trade_province_order_window(w: Warehouse):
 @job
 def dws_trade_sku_order_window(w: Warehouse):
     """A detail's first version, which waits for no promotion, stands for all: the mart uses
-    none, and later versions of it are equal but for their promotions."""
-    rows = dws.sku_amounts(w.follow("dwd_trade_order_detail"))
-    rows = tm.with_event_time(rows, tm.from_seconds("od_ts"), w.settings.delay)
-    summed = dws.sku_window(rows.dropDuplicatesWithinWatermark(["id"]), w.settings)
+    none, and later versions of it are equal but for their promotions. With ``sku_hold_ms`` the
+    newest version within the hold does, and the watermark counts details as they come out."""
+    details, hold_ms = w.follow("dwd_trade_order_detail"), w.settings.sku_hold_ms
+    if hold_ms is not None:
+        details = dws.complete(details, "id", "user_id", "source_type", "od_ts").select(
+            "*", F.unix_micros("row_op_ts").alias("_version"), tm.from_seconds("od_ts").alias("_rt")
+        )
+        details = stateful.latest_held(details.drop("row_op_ts"), "id", "_version", hold_ms, "_rt")
+    rows = tm.with_event_time(dws.sku_amounts(details), tm.from_seconds("od_ts"), w.settings.delay)
+    if hold_ms is None:
+        rows = rows.dropDuplicatesWithinWatermark(["id"])
+    summed = dws.sku_window(rows, w.settings)
     return summed, w.to_mart(
         "dws_trade_sku_order_window", lambda b: dws.enrich.add_sku(b, w.dims(b))
     )
