@@ -3,7 +3,9 @@
 import pandas as pd
 
 from rillmart.streaming import run, stateful
-from rillmart.streaming.processors import LatestAfterHold, LatestHeld
+from rillmart.streaming.processors import FirstOfDay, LatestAfterHold, LatestHeld
+
+DAY = 86_400_000
 
 
 class Handle:
@@ -54,6 +56,26 @@ def rows(parts):
     return [tuple(r) for part in parts for r in part.astype(object).where(part.notna(), None).itertuples(index=False)]
 
 
+def days(*records):
+    return pd.DataFrame(
+        [(0, k, d * DAY + at, i, d * DAY, pd.Timestamp(d * DAY, unit="ms"), "{}") for i, (k, d, at) in enumerate(records)],
+        columns=["slot", "key", "ts", "seq", "day_ms", "rt", "value"],
+    )
+
+
+def test_first_of_day_of_many_keys_in_one_call():
+    p, handle = started(FirstOfDay(2 * DAY))
+    got = rows(p.handleInputRows((0,), iter([days(("a", 1, 5), ("b", 1, 1)), days(("a", 1, 3), (None, 2, 0), ("b", 2, 0))]), Clock(0)))
+    assert [(r[0], r[1], r[6]) for r in got] == [
+        ("b", DAY + 1, None), ("a", DAY + 3, None), (None, 2 * DAY, None), ("b", 2 * DAY, DAY),
+    ]
+    assert handle.writes == 1 and handle.timers == [3 * DAY + 5]
+    # a's time is over, b's and the absent key's are not; then a is new again
+    assert rows(p.handleExpiredTimer((0,), Clock(3 * DAY + 6), None)) == [] and handle.timers == [4 * DAY]
+    got = rows(p.handleInputRows((0,), iter([days(("a", 5, 0), ("b", 5, 0))]), Clock(3 * DAY + 6)))
+    assert [(r[0], r[6]) for r in got] == [("a", None), ("b", 2 * DAY)]
+
+
 def versions(*records):
     return pd.DataFrame([(0, k, v, pd.Timestamp(at, unit="ms"), x) for k, v, at, x in records], columns=["slot", "key", "version", "rt", "value"])
 
