@@ -1,9 +1,11 @@
 """Keyed state by slots of keys: calls do not grow with the keys, and every key keeps its own state."""
 
+import json
+
 import pandas as pd
 
 from rillmart.streaming import run, stateful
-from rillmart.streaming.processors import FirstOfDay, LatestAfterHold, LatestHeld
+from rillmart.streaming.processors import FirstOfDay, LatestAfterHold, LatestHeld, OrderRevisions, PromotionRoute
 
 DAY = 86_400_000
 
@@ -94,6 +96,34 @@ def test_holds_of_many_keys_end_each_at_its_time():
         assert handle.value is None and handle.timers == []
 
 
+def test_promotions_find_the_orders_of_their_own_details():
+    def came(*records):
+        return pd.DataFrame([(0, k, kind, o, 10, pd.Timestamp(10, unit="ms"), v) for k, kind, o, v in records],
+                            columns=["slot", "key", "kind", "order_id", "ms", "rt", "value"])
+
+    p, handle = started(PromotionRoute(100))
+    got = rows(p.handleInputRows((0,), iter([came(("1", "activity", None, "A"), ("2", "d", "o2", None), ("2", "coupon", None, "C"))]), Clock(0)))
+    assert [r[:4] for r in got] == [("2", "coupon", "o2", 10)]
+    got = rows(p.handleInputRows((0,), iter([came(("1", "d", "o1", None))]), Clock(0)))
+    assert [r[:4] for r in got] == [("1", "activity", "o1", 10)] and handle.writes == 2 and handle.timers == [111]
+    assert rows(p.handleExpiredTimer((0,), Clock(112), None)) == [] and handle.value is None
+
+
+def test_orders_of_a_slot_are_revised_apart():
+    def came(*records):
+        return pd.DataFrame([(0, k, kind, i, 10, pd.Timestamp(10, unit="ms"), v) for k, kind, i, v in records],
+                            columns=["slot", "key", "kind", "id", "ms", "rt", "value"])
+
+    p, handle = started(OrderRevisions(100, ("activity", "coupon")))
+    first = came(("o", "d", "1", "d1"), ("p", "d", "2", "d2"), ("o", "o", None, "new"), ("o", "o", None, "new"))
+    assert [(r[0], r[1], *r[3:]) for r in rows(p.handleInputRows((0,), iter([first]), Clock(0)))] == [("o", "1", "d1", "new", None, None)]
+    then = came(("p", "o", None, "late"), ("p", "coupon", "2", "C"), ("o", "activity", "1", "A"), ("o", "activity", "2", "B"))
+    assert sorted((r[0], r[1], *r[3:]) for r in rows(p.handleInputRows((0,), iter([then]), Clock(0)))) == [
+        ("o", "1", "d1", "new", "A", None), ("p", "2", "d2", "late", None, "C"),
+    ]
+    assert handle.writes == 2 and json.loads(handle.value[1][0])[1] == [[10, "new"]]
+
+
 def test_a_drain_takes_the_time_its_input_needs(spark, tmp_path, monkeypatch):
     spark.range(3).write.parquet(f"{tmp_path}/in")
     waits = []
