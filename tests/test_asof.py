@@ -91,3 +91,20 @@ def test_a_large_history_is_not_broadcast(spark, monkeypatch):
         assert sorted((r["id"], r["name"]) for r in out.collect()) == sorted(r for r in brute(facts, versions) if r[1])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("rows", [3, 40, 10**6])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_many_versions_in_a_piece_are_sorted_with_the_facts(spark, monkeypatch, rows, how):
+    """No fact is compared with all versions of its piece."""
+    monkeypatch.setattr(asof, "FEW", 2)
+    monkeypatch.setattr(asof, "SORTED_ROWS", rows)
+    facts, versions = some(rows, ["a", "b", "c"], 200, 500)
+    df = spark.createDataFrame(facts, "id int, code string, ts bigint").repartition(3)
+    out = asof.join_as_of(
+        df, history(spark, versions), F.col("code"), F.col("ts"), "dic_code", "since", {"name": "dic_name"}, how
+    )
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.columns == ["id", "code", "ts", "name"]
+    want = [r for r in brute(facts, versions) if how == "left" or r[1]]
+    assert sorted((r["id"], r["name"]) for r in out.collect()) == sorted(want, key=lambda r: r[0])
