@@ -24,10 +24,15 @@ def window_agg(
     Works on batch and streaming input alike. Composite keys are grouped as columns,
     never concatenated.
     """
-    keys = keys or []
+    return bounded(window_groups(df, size, keys, measures, rt), [*(keys or []), *(measures or {})])
+
+
+def window_groups(
+    df: DataFrame, size: str, keys: list[str] | None, measures: dict[str, Column] | None, rt: str = "rt"
+) -> DataFrame:
+    """``window_agg`` with the window as a column ``_w``, which is narrower than its bounds as text."""
     aggs = [c.alias(n) for n, c in (measures or {}).items()]
-    grouped = df.groupBy(F.window(rt, size).alias("_w"), *keys).agg(*aggs)
-    return bounded(grouped, [*keys, *(measures or {})])
+    return df.groupBy(F.window(rt, size).alias("_w"), *(keys or [])).agg(*aggs)
 
 
 def bounded(grouped: DataFrame, columns: list[str]) -> DataFrame:

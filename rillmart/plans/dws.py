@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rillmart import codes
 from rillmart.functions import time as tm
-from rillmart.functions.money import MONEY, amount_or_zero
+from rillmart.functions.money import MONEY, amount_or_zero, original_amount
 from rillmart.operators import enrich, keywords, visitors
 from rillmart.operators.changes import complete, fields, of_table
 from rillmart.operators.latest import latest_per_key
-from rillmart.operators.windows import bounded, window_agg, window_count_distinct, window_sum
+from rillmart.operators.windows import bounded, window_agg, window_count_distinct, window_groups, window_sum
 from rillmart.settings import DEFAULTS, Settings
 
 TRAFFIC_KEYS = ["vc", "ch", "ar", "is_new"]
@@ -209,8 +209,11 @@ def sku_amounts(order_detail: DataFrame) -> DataFrame:
 
 def sku_window(rows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Amounts (with ``rt``) by SKU."""
-    measures = {"sku_name": F.min("sku_name")} | {n: F.sum(n).cast(MONEY) for n in _AMOUNTS}
-    return window_agg(rows, settings.window, ["sku_id"], measures)
+    return window_agg(rows, settings.window, ["sku_id"], _sku_measures())
+
+
+def _sku_measures() -> dict[str, Column]:
+    return {"sku_name": F.min("sku_name")} | {n: F.sum(n).cast(MONEY) for n in _AMOUNTS}
 
 
 def sku_order(
@@ -220,12 +223,20 @@ def sku_order(
     version: tuple[str, ...] | list[str] = ("row_op_ts",),
     ties: list[str] | None = None,
 ) -> DataFrame:
-    """Amounts by SKU over the newest version of each order detail."""
+    """Amounts by SKU over the newest version of each order detail.
+
+    What can be made again is not shuffled: the original amount comes from price and number, which
+    travel anyway, after the shuffles by order and detail, and windows become text last.
+    """
     newest = latest_per_key(
         complete(order_detail, "user_id", "source_type"), ["id"], list(version), ties
     )
-    rows = tm.with_event_time(sku_amounts(newest), tm.from_seconds("od_ts"))
-    return enrich.add_sku(sku_window(rows, settings), dims)
+    original = original_amount(F.col("order_price"), F.col("sku_num"))
+    amounts = sku_amounts(newest.withColumn("split_original_amount", original))
+    rows = tm.with_event_time(amounts, tm.from_seconds("od_ts"))
+    measures = _sku_measures()
+    named = enrich.add_sku(window_groups(rows, settings.window, ["sku_id"], measures), dims)
+    return bounded(named, [c for c in named.columns if c != "_w"])
 
 
 _REFUND_KEYS = ["user_id", "trademark_id", "category3_id"]

@@ -170,3 +170,11 @@ def test_leaving_out_promotions_keeps_the_rows(spark, sf):
     full = dwd_db.trade_order_pre_process(log, dic).select("id", "oi_ts", "od_ts")
     bare = dwd_db.trade_order_pre_process(log, dic, promotions=False).select("id", "oi_ts", "od_ts")
     assert full.exceptAll(bare).count() == bare.exceptAll(full).count() == 0
+
+
+def test_the_sku_mart_shuffles_nothing_it_can_make_again(spark, sf):
+    """Original amounts are made after the shuffle by detail, window texts after the last join."""
+    text = QUERIES["dws_sku_order"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    top, below = text.split("Join LeftOuter", 1)
+    assert "date_format" in top and "date_format" not in below
+    assert "split_original_amount" not in below.split("Window [row_number", 1)[1]
