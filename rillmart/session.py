@@ -27,6 +27,15 @@ RUNTIME_CONF = {
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: all state stores of an executor share one cache and one budget for writes: a chain of joins keeps
+#: a dozen stores a partition, whose own caches would grow with their number
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1024",
+}
+
+
 def build_session(
     app: str = "rillmart",
     master: str | None = None,
@@ -67,7 +76,8 @@ def streaming_session(
     """
     sibling = spark.newSession()
     tune(sibling, zone or spark.conf.get("spark.sql.session.timeZone"))
-    sibling.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    for key, value in STATE_CONF.items():
+        sibling.conf.set(key, value)
     if state_partitions is None:
         cores = max(2, spark.sparkContext.defaultParallelism)
         state_partitions = cores if is_local(spark) else STATE_PARTITIONS

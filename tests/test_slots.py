@@ -4,6 +4,7 @@ import json
 
 import pandas as pd
 
+from rillmart.session import streaming_session
 from rillmart.streaming import run, stateful
 from rillmart.streaming.processors import FirstOfDay, LatestAfterHold, LatestHeld, OrderRevisions, PromotionRoute
 
@@ -136,3 +137,10 @@ def test_a_drain_takes_the_time_its_input_needs(spark, tmp_path, monkeypatch):
 def test_keys_are_dealt_to_a_bounded_number_of_slots(spark):
     ids = spark.range(5_000).selectExpr("cast(nullif(id, 0) as string) AS key").select(stateful._slot(slots=64)).distinct()
     assert {r["slot"] for r in ids.collect()} == set(range(64))
+
+
+def test_state_stores_of_an_executor_share_one_memory_budget(spark):
+    """The order join keeps a dozen stores a partition."""
+    conf = streaming_session(spark).conf
+    assert conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage") == "true"
+    assert int(conf.get("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB")) <= 2048
