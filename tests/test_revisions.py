@@ -2,10 +2,14 @@
 
 import random
 from collections import Counter
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from rillmart import catalog
 from rillmart.plans import dwd_db
+from rillmart.session import streaming_session
+from rillmart.streaming import run as runs
 from rillmart.streaming import stateful
 from streams import Feed
 
@@ -100,3 +104,54 @@ def test_any_arrival_order_ends_as_the_batch_does(spark, tmp_path):
     rows = lambda df: sorted((tuple(r) for r in df.select(*OUT).collect()), key=repr)
     assert rows(newest) == rows(batch) and made.count() > newest.count()
     assert set(made.columns) == set(batch.columns)
+
+
+def test_pieces_hold_all_orders_once(spark, tmp_path):
+    first = [detail("d1", "o", 100), detail("d2", "p", 100), detail("d3", "q", 100), order("o", "1001", 101), coupon("d9", "early", 101)]
+    then = [order("p", "1001", 102), order("q", "1001", 103), activity("d1", "A", 104), coupon("d3", "C", 104), detail("d9", "r", 104),
+            order("r", "1001", 105), detail("d8", None, 105), activity("d8", "A", 105), detail(None, "o", 105)]
+
+    def made(name, piece):
+        feed = Feed(spark, tmp_path / name, CHANGES).add(first).add(then)
+        rows = feed.run(lambda changes: stateful.order_revisions(changes, f"{SPAN} seconds", "1 hour", piece))
+        return [tuple(r) for r in rows.select("order_id", *OUT).collect()]
+
+    whole = made("whole", None)
+    parts = [made(f"piece-{k}", (k, 3)) for k in range(3)]
+    assert sorted(whole, key=repr) == sorted((r for p in parts for r in p), key=repr)
+    assert {r[0] for r in whole} == {"o", "p", "q", "r"} and sum(len({r[0] for r in p}) for p in parts) == 4
+    assert sorted(made("one", (0, 1)), key=repr) == sorted(whole, key=repr)
+
+
+def test_a_large_input_is_drained_in_pieces_that_leave_no_state_behind(spark, sf, tmp_path, monkeypatch):
+    """Disk is needed for a piece at a time: what one leaves is gone when the next begins."""
+    whole = sorted(map(tuple, catalog.QUERIES["stream_order_revisions"](spark, sf).collect()), key=repr)
+    monkeypatch.setattr(runs, "shared_dir", lambda spark: str(tmp_path))
+    monkeypatch.setattr(catalog, "DEFAULTS", replace(catalog.DEFAULTS, drain_rows=3_000))
+    began, start = [], runs.start
+
+    def started(df, path, checkpoint, *more):
+        began.append(list(tmp_path.glob("*/checkpoint*")))
+        return start(df, path, checkpoint, *more)
+
+    monkeypatch.setattr(runs, "start", started)
+    rows = catalog.QUERIES["stream_order_revisions"](spark, sf)
+    assert len(began) == 3 and not any(began) and not list(tmp_path.glob("*/checkpoint*"))
+    assert sorted(map(tuple, rows.collect()), key=repr) == whole and len(whole) > 0
+
+
+def test_payloads_leave_out_what_a_row_says_already(spark, tmp_path, monkeypatch):
+    """An order's details are held without their number and order, and a row is exchanged once a state."""
+    feed = Feed(spark, tmp_path, CHANGES).add([detail("d1", "o", 100, sku_id="s"), order("o", "1001", 101), activity("d1", "A", 101)])
+    out = feed.run(lambda changes: stateful.order_revisions(changes, f"{SPAN} seconds", "2 seconds"))
+    assert [(r["id"], r["order_id"], r["sku_id"], r["od_ts"], r["activity_id"]) for r in out.collect()] == [("d1", "o", "s", 100, "A")]
+    plan = stateful.order_revisions(feed.stream(streaming_session(spark)), f"{SPAN} seconds", "2 seconds")
+    text = plan._jdf.queryExecution().analyzed().toString()
+    written = [t.split("to_json(")[1] for t in text.splitlines() if "to_json(" in t]
+    assert len(written) == 4 and not any("order_id" in t or "order_detail_id" in t for t in written)
+    assert text.count("RepartitionByExpression [slot") == 2
+
+
+def test_state_is_written_with_zstd(spark):
+    """State lies on disk twice."""
+    assert streaming_session(spark).conf.get("spark.sql.streaming.stateStore.rocksdb.compression") == "zstd"
